@@ -43,8 +43,10 @@ def primary_key(df: DataFrame, key: list[str], table: str) -> DataFrame:
 def not_null(df: DataFrame, columns: list[str], table: str) -> DataFrame:
     """NULLs per column that must have none, in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    rows = [_finding(counts.select(F.col(c).alias("bad")), "not_null", table, c) for c in columns]
-    return reduce(DataFrame.unionByName, rows)
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("detail"), F.col(c).alias("bad")) for c in columns]))
+    return counts.select(rows.alias("r")).select(
+        F.lit("not_null").alias("check"), F.lit(table).alias("table"), "r.detail", "r.bad"
+    )
 
 
 def references(child: DataFrame, column: str, parent: DataFrame, parent_column: str, table: str) -> DataFrame:
@@ -78,10 +80,15 @@ def contract_findings(df: DataFrame, contract: Contract) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def flag_valid(df: DataFrame, constraints: list[Column], name: str = "valid") -> DataFrame:
+    """Add whether a row satisfies every constraint. NULL counts as not satisfied."""
+    return df.withColumn(name, F.coalesce(reduce(lambda a, b: a & b, constraints), F.lit(False)))
+
+
 def split_valid(df: DataFrame, constraints: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Rows that satisfy every constraint, and the rest. NULL counts as not satisfied."""
-    ok = F.coalesce(reduce(lambda a, b: a & b, constraints), F.lit(False))
-    return df.filter(ok), df.filter(~ok)
+    """Rows that satisfy every constraint, and the rejected rest."""
+    flagged = flag_valid(df, constraints, "__valid")
+    return flagged.filter("__valid").drop("__valid"), flagged.filter("NOT __valid").drop("__valid")
 
 
 def assert_clean(findings: DataFrame) -> None:

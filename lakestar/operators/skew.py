@@ -27,60 +27,70 @@ def key_counts(df: DataFrame, key: list[str], name: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
 
 
+def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hot keys of either side with the number of slices each side is cut into.
+
+    A NULL key never matches. Left rows with one may still be hot, and struct
+    equality keeps them here; right rows with one are dropped before the join.
+    """
+
+    def hot(df: DataFrame, cells: str) -> DataFrame:
+        counts = key_counts(df.select(*key), key, "__n").filter(F.col("__n") > hot_rows)
+        return counts.select(F.struct(*key).alias("__key"), F.ceil(F.col("__n") / F.lit(hot_rows)).alias(cells))
+
+    both = hot(left, "__lcells").join(hot(right.dropna("any", subset=key), "__rcells"), "__key", "full")
+    one = F.lit(1).cast("bigint")
+    return both.select(
+        "__key", F.coalesce("__lcells", one).alias("__lcells"), F.coalesce("__rcells", one).alias("__rcells")
+    )
+
+
 def fanout_join(
-    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", hot_rows: int = HOT_ROWS
+    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", hot_rows: int = HOT_ROWS,
+    grid: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which one key may be hot on either side, or on both.
 
-    The rows of a hot key are laid out on a grid: left rows fall into ``lcells``
-    slices, right rows into ``rcells`` slices, and each left slice meets each
+    The rows of a hot key are laid out on a grid: left rows fall into ``__lcells``
+    slices, right rows into ``__rcells`` slices, and each left slice meets each
     right slice in a task of its own. Every pair meets exactly once. Keys that are
-    not hot have a 1 x 1 grid, that is, the plain join. ``right`` must share only
-    the key columns with ``left``.
+    not hot have a 1 x 1 grid, that is, the plain join; if no key is hot, adaptive
+    execution drops the grid lookup altogether. ``right`` must share only the key
+    columns with ``left``. Pass ``grid`` (see ``hot_grid``) when cheaper frames
+    with the same keys are at hand to count.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
+    grid = F.broadcast(grid if grid is not None else hot_grid(left, right, key, hot_rows))
     lnames = [f"__l{i}" for i in range(len(key))]
-
-    def cells(count: str) -> Column:
-        return F.greatest(F.ceil(F.coalesce(F.col(count), F.lit(0)) / F.lit(hot_rows)), F.lit(1))
-
-    # NULL keys never match but may still be hot: struct equality keeps them in the grid table.
-    lcount = key_counts(left, key, "__nl").select(F.struct(*key).alias("__key"), "__nl")
-    rcount = key_counts(right, key, "__nr").select(F.struct(*key).alias("__key"), "__nr")
-    hot_left = lcount.filter(F.col("__nl") > hot_rows)
-    hot_right = rcount.filter(F.col("__nr") > hot_rows)
-    grid = (
-        hot_left.join(hot_right, "__key", "full")
-        .select("__key", cells("__nl").alias("__lcells"), cells("__nr").alias("__rcells"))
-    )
-    grid = F.broadcast(grid)
+    right = right.dropna("any", subset=key)
 
     def place(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str) -> DataFrame:
         columns = df.columns
         placed = df.withColumn("__key", F.struct(*key)).join(grid, "__key", "left").drop("__key")
         hot = F.col(own).isNotNull()
+        every = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)).cast("int") - 1)
         return placed.withColumns(
             {
                 own_slice: F.when(hot, spread(F.col(own), columns)).otherwise(F.lit(0)).cast("int"),
-                other_slice: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)).cast("int") - 1)),
+                other_slice: F.explode(every),
             }
         )
 
-    slices = ["__lslice", "__rslice"]
-    lrows = place(left, "__lcells", "__rcells", *slices).drop("__lcells").withColumnsRenamed(dict(zip(key, lnames)))
-    rrows = place(right, "__rcells", "__lcells", "__rslice", "__lslice").drop("__lcells", "__rcells")
-    rrows = rrows.withColumn("__hit", F.lit(True)).withColumnsRenamed({s: f"{s}_r" for s in slices})
-    on = [F.col(l) == F.col(k) for l, k in zip(lnames, key)] + [F.col(s) == F.col(f"{s}_r") for s in slices]
+    lrows = place(left, "__lcells", "__rcells", "__lslice", "__rslice").drop("__lcells")
+    lrows = lrows.withColumnsRenamed(dict(zip(key, lnames)))
+    rrows = place(right, "__rcells", "__lcells", "__rslice_r", "__lslice_r").drop("__lcells", "__rcells")
+    rrows = rrows.withColumn("__hit", F.lit(True))
+    on = [F.col(l) == F.col(k) for l, k in zip(lnames, key)]
+    on += [F.col(s) == F.col(f"{s}_r") for s in ("__lslice", "__rslice")]
     joined = lrows.join(rrows, on, how)
     if how == "left":
-        # A hot right key meets each left row in every right slice. An empty slice
-        # would add a spurious unmatched row, and the key is known to have matches.
+        # A key with several right slices has matches, yet one of its slices may be
+        # empty and would then add a spurious unmatched row.
         spurious = (F.coalesce(F.col("__rcells"), F.lit(1)) > 1) & F.col("__hit").isNull()
         joined = joined.filter(~spurious)
-    keep_right = [c for c in right.columns if c not in key]
     return joined.select(
         *[F.col(l).alias(k) for l, k in zip(lnames, key)],
         *[c for c in left.columns if c not in key],
-        *keep_right,
+        *[c for c in right.columns if c not in key],
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FIRST, LAST = "first_seen", "last_seen"
@@ -28,22 +28,25 @@ def to_state(
     ``arrival`` ranks whole inputs: a lower one is older whatever its order columns say.
     Rows that tie on the order columns are told apart by their values.
     """
-    lead = [F.lit(arrival).alias("arrival"), *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]]
-    packed = df.dropna("any", subset=key).select(
-        *key, *[F.struct(*lead, *[F.col(c) for c in cols]).alias(n) for n, cols in ((FIRST, first), (LAST, last)) if cols]
-    )
-    return packed.groupBy(*key).agg(*_pick(packed))
+    return merge_states(_packed(df, key, order, first, last, arrival), key)
 
 
-def _pick(packed: DataFrame) -> list[Column]:
-    picks = {FIRST: F.min, LAST: F.max}
-    return [picks[n](n).alias(n) for n in (FIRST, LAST) if n in packed.columns]
+def _packed(
+    df: DataFrame, key: list[str], order: list[str], first: list[str], last: list[str], arrival: int
+) -> DataFrame:
+    """Each row as a state of its own."""
+    lead = [F.lit(arrival).alias("arrival"), *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]]
+    packs = {FIRST: first, LAST: last}
+    return df.dropna("any", subset=key).select(
+        *key, *[F.struct(*lead, *[F.col(c) for c in columns]).alias(n) for n, columns in packs.items() if columns]
+    )
 
 
 def merge_states(states: list[DataFrame] | DataFrame, key: list[str]) -> DataFrame:
     """Fold several states, or the appended deltas of one table, into one."""
     rows = states if isinstance(states, DataFrame) else reduce(DataFrame.unionByName, states)
-    return rows.groupBy(*key).agg(*_pick(rows))
+    picks = {FIRST: F.min, LAST: F.max}
+    return rows.groupBy(*key).agg(*[pick(n).alias(n) for n, pick in picks.items() if n in rows.columns])
 
 
 def from_state(state: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
@@ -70,8 +73,8 @@ def upsert(
     last = values if update is None else [c for c in values if c in update]
     first = [c for c in values if c not in last]
     undated = target.withColumns({c: F.lit(None).cast(incoming.schema[c].dataType) for c in order if c not in columns})
-    old = to_state(undated, key, order, first, last, arrival=0)
-    new = to_state(incoming, key, order, first, last, arrival=1)
+    old = _packed(undated, key, order, first, last, arrival=0)
+    new = _packed(incoming, key, order, first, last, arrival=1)
     return from_state(merge_states([old, new], key), key, columns)
 
 

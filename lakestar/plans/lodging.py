@@ -9,7 +9,7 @@ from lakestar import contracts as c
 from lakestar.contracts import conform
 from lakestar.functions.cleaning import blank_to_zero, fill_text, money, yes_no
 from lakestar.operators.columns import drop_duplicate_columns, merge_with_suffixes, strip_suffix
-from lakestar.operators.skew import HOT_ROWS, fanout_join
+from lakestar.operators.skew import HOT_ROWS, fanout_join, hot_grid
 
 # Columns in which a blank stands for zero.
 ZERO_IF_BLANK = (
@@ -76,5 +76,6 @@ def bookings(calendars: DataFrame, listings: DataFrame, all_reviews: DataFrame,
         listings.select(F.col("id").alias("listing_id"), F.col("id"), *listing_columns), "listing_id", "left"
     )
     reviewed = all_reviews.select("listing_id", "review_id", "review_date", "reviewer_id")
-    joined = fanout_join(days, reviewed, ["listing_id"], "left", hot_rows)
+    grid = hot_grid(calendars, all_reviews, ["listing_id"], hot_rows)
+    joined = fanout_join(days, reviewed, ["listing_id"], "left", grid=grid)
     return joined.withColumn("month_review", F.month("review_date")).select(*c.BOOKINGS.columns)

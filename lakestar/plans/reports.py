@@ -10,7 +10,7 @@ from lakestar.functions.timeparts import from_epoch_millis, in_year
 from lakestar.functions.weblog import parse_lines, typed
 from lakestar.operators.lookup import never_seen, rows_at_maximum, top_k
 from lakestar.operators.running import label_by_anchor
-from lakestar.operators.skew import HOT_ROWS, fanout_join
+from lakestar.operators.skew import HOT_ROWS, fanout_join, hot_grid
 
 PLAY_PAGE, DOWNGRADE_PAGE = "NextSong", "Submit Downgrade"
 
@@ -131,7 +131,8 @@ def booking_rows(
     days = calendars.select("listing_id", "date", "adjusted_price").join(
         listings.select(F.col("id").alias("listing_id"), "name", "room_type"), "listing_id", "left"
     )
-    return fanout_join(days, reviews.select("listing_id", "review_id", "review_date"), ["listing_id"], "left", hot_rows)
+    grid = hot_grid(calendars, reviews, ["listing_id"], hot_rows)
+    return fanout_join(days, reviews.select("listing_id", "review_id", "review_date"), ["listing_id"], grid=grid)
 
 
 def sample(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakestar import contracts as c
-from lakestar.contracts import Contract
+from lakestar.contracts import Contract, struct
 from lakestar.operators import quality as q
 from lakestar.plans.load import run_load
 from lakestar.session import work_dir
@@ -16,14 +14,10 @@ from lakestar.suite import query
 from lakestar.suite.tables import CATALOGUE_SQL, PLAY_LOG_SQL, Tables
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 # --- JSON --------------------------------------------------------------------
 
 EVENT_SQL = "SELECT event_id, user_id, event_type, value FROM events"
-EVENT_SCHEMA = _schema("event_id bigint, user_id bigint, event_type string, value double")
+EVENT_SCHEMA = struct("event_id bigint, user_id bigint, event_type string, value double")
 
 
 def _event_json(t: Tables, nested: bool = False) -> str:
@@ -49,7 +43,7 @@ def json_with_inferred_schema(t: Tables):
 
 @query("json_with_absent_field", "SELECT event_id, CAST(NULL AS VARCHAR) AS artist FROM events")
 def json_with_absent_field(t: Tables):
-    return files.read_json(t.spark, _event_json(t), _schema("event_id bigint, artist string"), tree=True)
+    return files.read_json(t.spark, _event_json(t), struct("event_id bigint, artist string"), tree=True)
 
 
 @query("json_by_field_paths", EVENT_SQL)
@@ -90,7 +84,7 @@ def csv_tree_union(t: Tables):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                            F.col("o_orderpriority").alias("folder"))
     rows.write.partitionBy("folder").option("header", True).csv(root)
-    schema = _schema("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
+    schema = struct("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
     return files.read_csv(t.spark, root, schema, tree=True, glob="*.csv")
 
 
@@ -104,7 +98,7 @@ def gzip_text_lines(t: Tables):
 # --- parquet tables --------------------------------------------------------------
 
 ORDERS = Contract(
-    "orders_by_month", _schema("o_orderkey bigint, o_custkey bigint, o_totalprice double, year int, month int"),
+    "orders_by_month", struct("o_orderkey bigint, o_custkey bigint, o_totalprice double, year int, month int"),
     key=("o_custkey", "o_orderkey"), partition_by=("year", "month"),
 )
 ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -147,7 +141,7 @@ def row_parity_after_write(t: Tables):
 
 # --- incremental -----------------------------------------------------------------
 
-VISIT_SCHEMA = _schema("event_id bigint, user_id bigint, ts_us bigint, event_type string, value double")
+VISIT_SCHEMA = struct("event_id bigint, user_id bigint, ts_us bigint, event_type string, value double")
 
 
 def _visit_files(t: Tables) -> str:

@@ -6,9 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakestar.contracts import Contract, conform
+from lakestar.contracts import Contract, conform, struct
 from lakestar.functions.cleaning import blank_to_zero, cast_columns, fill_text, money, nan_to_null
 from lakestar.operators import quality as q
 from lakestar.operators.profile import describe_numbers, duplicate_count, missing_percent, profile
@@ -92,20 +91,16 @@ def describe_event_numbers(t: Tables):
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
-@query("constraint_split", """SELECT o_orderkey, o_custkey, o_totalprice,
+@query("constraint_flags", """SELECT o_orderkey, o_custkey, o_totalprice,
        (o_totalprice >= 100000 AND o_orderpriority <> '5-LOW' AND o_custkey IS NOT NULL) AS valid FROM orders""")
-def constraint_split(t: Tables):
-    valid, rejected = q.split_valid(
-        t.orders,
-        [F.col("o_totalprice") >= 100000, F.col("o_orderpriority") != "5-LOW", F.col("o_custkey").isNotNull()],
-    )
-    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
-    return valid.select(*columns, F.lit(True).alias("valid")).unionAll(rejected.select(*columns, F.lit(False)))
+def constraint_flags(t: Tables):
+    constraints = [F.col("o_totalprice") >= 100000, F.col("o_orderpriority") != "5-LOW", F.col("o_custkey").isNotNull()]
+    return q.flag_valid(t.orders, constraints).select("o_orderkey", "o_custkey", "o_totalprice", "valid")
 
 
 # Quantity is a double and there is no comment: two things the schema check must report.
 LINE_CONTRACT = Contract(
-    "lineitem", T.StructType.fromDDL("l_orderkey bigint, l_linenumber int, l_quantity int, l_comment string"),
+    "lineitem", struct("l_orderkey bigint, l_linenumber int, l_quantity int, l_comment string"),
     key=("l_orderkey", "l_linenumber"), not_null=("l_quantity",),
 )
 

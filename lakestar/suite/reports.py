@@ -68,17 +68,17 @@ def top_artists_with_ties(t: Tables):
     FROM visits WHERE page IN ('NextSong', 'Home'))
 SELECT avg(n) AS mean_rows FROM (SELECT count(*) AS n FROM periods WHERE page = 'NextSong' GROUP BY user_id, period)""")
 def mean_songs_between_home(t: Tables):
-    return mean_rows_between_anchors(t.visits(), ["user_id"], "ts_us", "page", "NextSong", "Home")
+    return mean_rows_between_anchors(t.events, ["user_id"], "ts", "event_type", "view", "signup")
 
 
 @query("mean_songs_between_home_rows", f"""WITH {VISITS_SQL}, periods AS (
     SELECT user_id, page, sum(CASE WHEN page = 'Home' THEN 1 ELSE 0 END) OVER (
-           PARTITION BY user_id ORDER BY ts DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period
+           PARTITION BY user_id ORDER BY ts_us DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period
     FROM visits WHERE page IN ('NextSong', 'Home'))
 SELECT avg(n) AS mean_rows FROM (SELECT count(*) AS n FROM periods WHERE page = 'NextSong' GROUP BY user_id, period)""")
 def mean_songs_between_home_rows(t: Tables):
     return mean_rows_between_anchors(
-        t.visits(), ["user_id"], "ts", "page", "NextSong", "Home", frame="rows", tiebreak=["event_id"]
+        t.events, ["user_id"], "ts", "event_type", "view", "signup", frame="rows", tiebreak=["event_id"]
     )
 
 
