@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.operators.skew import HOT_ROWS
+from lakestar.operators.skew import hot_limit
 
 
 def _position(df: DataFrame, order: str) -> Column:
@@ -35,7 +35,7 @@ def running_sum(
     descending: bool = True,
     frame: str = "range",
     tiebreak: list[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` from the first row of the key to this row.
 
@@ -49,12 +49,13 @@ def running_sum(
     # Struct equality treats NULL keys as equal, as window partitions do.
     rows = df.withColumns({"__key": F.struct(*key), "__pos": _position(df, order), "__value": value})
 
+    limit = hot_limit(df, hot_rows)
     spans = (
         rows.groupBy("__key")
         .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))
-        .filter(F.col("__n") > hot_rows)
+        .filter(F.col("__n") > limit)
         # Slices are of equal width, not equal depth; eight times more of them absorbs uneven spread.
-        .select("__key", "__lo", "__hi", (F.ceil(F.col("__n") / F.lit(hot_rows)) * 8).alias("__slices"))
+        .select("__key", "__lo", "__hi", (F.ceil(F.col("__n") / limit) * 8).alias("__slices"))
     )
     width = (F.col("__hi") - F.col("__lo")).cast("double")
     slice_no = F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(
@@ -69,7 +70,6 @@ def running_sum(
     sliced = rows.join(F.broadcast(spans), "__key", "left").withColumn("__slice", slice_no.cast("int"))
 
     before = Window.partitionBy("__key").orderBy(direction("__slice")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most 8 x rows / hot_rows + 2 per hot key: bounded like the hot keys themselves.
     starts = (
         sliced.filter(F.col("__slices").isNotNull())
         .groupBy("__key", "__slice")
@@ -83,7 +83,8 @@ def running_sum(
     else:
         within = within.orderBy(direction("__pos")).rangeBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.join(F.broadcast(starts), ["__key", "__slice"], "left")
+        # Joined on the columns the window partitions by, so its shuffle serves both.
+        sliced.join(starts, ["__key", "__slice"], "left")
         .withColumn(name, F.sum("__value").over(within) + F.coalesce(F.col("__start"), F.lit(0)))
         .select(*df.columns, name)
     )

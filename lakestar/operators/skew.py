@@ -1,8 +1,10 @@
 """Splitting hot keys.
 
-A key is hot when it has more than ``hot_rows`` rows. There can be at most
-``rows / hot_rows`` such keys, so the table of hot keys has a proven size bound
-and is the only thing this module broadcasts.
+A key is hot when it holds more rows than a limit. By default the limit is the
+total number of rows divided by a few times the shuffle partitions, so a hot key
+is one that would overload its partition, and there are at most ``pieces`` of
+them whatever the data volume. The table of hot keys therefore has a proven size
+bound; it is the only thing these operators broadcast.
 """
 
 from __future__ import annotations
@@ -10,7 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 5_000_000
+# Splitting fewer rows than this is not worth the extra stage.
+MIN_HOT_ROWS = 10_000
+PIECES_PER_PARTITION = 4
+
+
+def hot_limit(df: DataFrame, hot_rows: int | None = None) -> Column:
+    """Rows a key may hold before it is split: ``hot_rows``, or a share of all rows.
+
+    The total is a scalar subquery over a column-less count of the same plan.
+    """
+    if hot_rows is not None:
+        return F.lit(hot_rows)
+    pieces = PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return F.greatest(F.lit(MIN_HOT_ROWS), F.ceil(total / F.lit(pieces)))
 
 
 def spread(n: Column, columns: list[str]) -> Column:
@@ -27,7 +43,7 @@ def key_counts(df: DataFrame, key: list[str], name: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int | None = None) -> DataFrame:
     """Hot keys of either side with the number of slices each side is cut into.
 
     A NULL key never matches. Left rows with one may still be hot, and struct
@@ -35,8 +51,10 @@ def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int =
     """
 
     def hot(df: DataFrame, cells: str) -> DataFrame:
-        counts = key_counts(df.select(*key), key, "__n").filter(F.col("__n") > hot_rows)
-        return counts.select(F.struct(*key).alias("__key"), F.ceil(F.col("__n") / F.lit(hot_rows)).alias(cells))
+        keys = df.select(*key)
+        limit = hot_limit(keys, hot_rows)
+        counts = key_counts(keys, key, "__n").filter(F.col("__n") > limit)
+        return counts.select(F.struct(*key).alias("__key"), F.ceil(F.col("__n") / limit).alias(cells))
 
     both = hot(left, "__lcells").join(hot(right.dropna("any", subset=key), "__rcells"), "__key", "full")
     one = F.lit(1).cast("bigint")
@@ -46,7 +64,7 @@ def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int =
 
 
 def fanout_join(
-    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", hot_rows: int = HOT_ROWS,
+    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", hot_rows: int | None = None,
     grid: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which one key may be hot on either side, or on both.

@@ -9,7 +9,7 @@ from lakestar import contracts as c
 from lakestar.contracts import conform
 from lakestar.functions.cleaning import blank_to_zero, fill_text, money, yes_no
 from lakestar.operators.columns import drop_duplicate_columns, merge_with_suffixes, strip_suffix
-from lakestar.operators.skew import HOT_ROWS, fanout_join, hot_grid
+from lakestar.operators.skew import fanout_join, hot_grid
 
 # Columns in which a blank stands for zero.
 ZERO_IF_BLANK = (
@@ -65,7 +65,7 @@ def reviews(raw: DataFrame) -> DataFrame:
     return conform(named.na.drop("any").withColumn("month", F.month("review_date")), c.REVIEWS)
 
 
-def bookings(calendars: DataFrame, listings: DataFrame, all_reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def bookings(calendars: DataFrame, listings: DataFrame, all_reviews: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Calendar days with their listing and, for each day, every review of the listing.
 
     Only the columns of the result enter the joins. The listing join is many to

@@ -10,7 +10,7 @@ from lakestar.functions.timeparts import from_epoch_millis, in_year
 from lakestar.functions.weblog import parse_lines, typed
 from lakestar.operators.lookup import never_seen, rows_at_maximum, top_k
 from lakestar.operators.running import label_by_anchor
-from lakestar.operators.skew import HOT_ROWS, fanout_join, hot_grid
+from lakestar.operators.skew import fanout_join, hot_grid
 
 PLAY_PAGE, DOWNGRADE_PAGE = "NextSong", "Submit Downgrade"
 
@@ -125,7 +125,7 @@ def distinct_artists(facts: DataFrame) -> DataFrame:
 
 
 def booking_rows(
-    calendars: DataFrame, listings: DataFrame, reviews: DataFrame, hot_rows: int = HOT_ROWS
+    calendars: DataFrame, listings: DataFrame, reviews: DataFrame, hot_rows: int | None = None
 ) -> DataFrame:
     """Denormalised booking rows with an explicit column list."""
     days = calendars.select("listing_id", "date", "adjusted_price").join(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakestar.functions.cleaning import yes_no
@@ -113,11 +114,8 @@ def _line_items(t: Tables):
 
 @query("running_sum_range", _day_totals("l_shipdate_us DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"))
 def running_sum_range(t: Tables):
-    # Three keys hold all rows, so slicing kicks in from a few hundred thousand rows on.
-    summed = running_sum(
-        _line_items(t), ["l_returnflag"], "l_shipdate_us", F.col("l_quantity").cast("bigint"), "so_far",
-        hot_rows=200_000,
-    )
+    # Three keys hold all rows: each is hot and gets sliced.
+    summed = running_sum(_line_items(t), ["l_returnflag"], "l_shipdate_us", F.col("l_quantity").cast("bigint"), "so_far")
     return summed.select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate_us", "l_quantity", "so_far")
 
 
@@ -129,7 +127,7 @@ TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l
 def running_sum_rows(t: Tables):
     summed = running_sum(
         _line_items(t), ["l_returnflag"], "l_shipdate_us", F.col("l_quantity").cast("bigint"), "so_far",
-        frame="rows", tiebreak=TIES, hot_rows=2_000,
+        frame="rows", tiebreak=TIES,
     )
     return summed.select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate_us", "l_quantity", "so_far")
 
@@ -222,7 +220,11 @@ def top_words_any_case(t: Tables):
 def annotated(t: Tables):
     """Document words as annotations; capitalised ones carry the proper-noun tags."""
     words = F.split("text", r"\s+")
-    tag = lambda w: F.when(w.rlike("^[A-Z].*s$"), "NNPS").when(w.rlike("^[A-Z]"), "NNP").otherwise("NN")
+
+    def tag(w: Column) -> Column:
+        noun = F.when(F.endswith(w, F.lit("s")), "NNPS").otherwise("NNP")
+        return F.when(F.substring(w, 1, 1).between("A", "Z"), noun).otherwise("NN")
+
     pos = F.transform(
         words, lambda w: F.struct(tag(w).alias("result"), F.create_map(F.lit("word"), w).alias("metadata"))
     )
@@ -231,13 +233,13 @@ def annotated(t: Tables):
 
 @query("proper_noun_frequency", r"""SELECT word, count(*) AS count FROM (
     SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
-WHERE regexp_matches(word, '^[A-Z]') GROUP BY word""")
+WHERE word[1] BETWEEN 'A' AND 'Z' GROUP BY word""")
 def proper_noun_frequency(t: Tables):
     return reports.proper_nouns(annotated(t))
 
 
-@query("annotation_tags", r"""SELECT CASE WHEN regexp_matches(word, '^[A-Z].*s$') THEN 'NNPS'
-       WHEN regexp_matches(word, '^[A-Z]') THEN 'NNP' ELSE 'NN' END AS tag, count(*) AS count
+@query("annotation_tags", r"""SELECT CASE WHEN word[1] NOT BETWEEN 'A' AND 'Z' THEN 'NN'
+       WHEN word LIKE '%s' THEN 'NNPS' ELSE 'NNP' END AS tag, count(*) AS count
 FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents) GROUP BY 1""")
 def annotation_tags(t: Tables):
     return annotated(t).select(F.explode("pos.result").alias("tag")).groupBy("tag").count()
