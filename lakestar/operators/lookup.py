@@ -1,8 +1,8 @@
 """Natural-key joins between an event log and an entity catalogue.
 
-None of these joins forces a broadcast: Spark broadcasts the catalogue when its
-measured size is under the configured threshold and otherwise sorts and merges,
-where adaptive execution splits the log side of a hot key.
+A hot natural key is sliced (``salted_join``). None of these joins forces a
+broadcast of the catalogue: Spark does that by itself while its size is under the
+configured threshold, and sorts and merges beyond it.
 """
 
 from __future__ import annotations
@@ -10,34 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.operators.skew import salted_join
+
 
 def natural_key_join(
-    log: DataFrame, catalogue: DataFrame, on: dict[str, str], ids: list[str], how: str = "left", ambiguous: str = "all"
+    log: DataFrame, catalogue: DataFrame, on: dict[str, str], ids: list[str], how: str = "left",
+    ambiguous: str = "all", hot_rows: int | None = None,
 ) -> DataFrame:
     """Join on several natural keys (``{log column: catalogue column}``) and add the ids.
 
     ``ambiguous="all"`` multiplies an event by its matches; ``"first"`` takes the
     smallest id tuple per natural key, so no event is ever multiplied.
     """
-    names = {c: f"__c{i}" for i, c in enumerate(on.values())}
-    side = catalogue.select(*[F.col(c).alias(n) for c, n in names.items()], *ids)
+    side = catalogue.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()], *ids)
     if ambiguous == "first":
-        packed = side.groupBy(*names.values()).agg(F.min(F.struct(*ids)).alias("__ids"))
-        side = packed.select(*names.values(), "__ids.*")
+        packed = side.groupBy(*on).agg(F.min(F.struct(*ids)).alias("__ids"))
+        side = packed.select(*on, "__ids.*")
     elif ambiguous != "all":
         raise ValueError(f"unknown ambiguity rule: {ambiguous}")
-    condition = [F.col(l) == F.col(names[c]) for l, c in on.items()]
-    return log.join(side, condition, how).drop(*names.values())
+    return salted_join(log, side, list(on), how, hot_rows)
 
 
-def chained_name_join(log: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """Title join, then artist-name join, tied together by the artist id.
+def chained_name_join(
+    log: DataFrame, songs: DataFrame, artists: DataFrame, hot_rows: int | None = None
+) -> DataFrame:
+    """Match plays by song title and artist name, tied together by the artist id.
 
-    Without the id equality a title would also match other artists' songs.
+    Songs and artists meet first, on the id: joining the log by title alone would
+    multiply it by every other artist's song of that title.
     """
-    by_title = songs.select(F.col("title").alias("song"), "song_id", "artist_id")
-    by_name = artists.select(F.col("name").alias("artist"), "artist_id")
-    return log.join(by_title, "song").join(by_name, ["artist", "artist_id"])
+    named = songs.select("song_id", "artist_id", F.col("title").alias("song")).join(
+        artists.select("artist_id", F.col("name").alias("artist")), "artist_id"
+    )
+    return salted_join(log, named, ["song", "artist"], "inner", hot_rows)
 
 
 def never_seen(all_values: DataFrame, seen: DataFrame) -> DataFrame:

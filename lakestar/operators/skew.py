@@ -43,20 +43,52 @@ def key_counts(df: DataFrame, key: list[str], name: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int | None = None) -> DataFrame:
-    """Hot keys of either side with the number of slices each side is cut into.
+def _hot_keys(df: DataFrame, key: list[str], cells: str, hot_rows: int | None) -> DataFrame:
+    """``(__key, cells)`` of the hot keys; struct equality keeps keys with NULL parts."""
+    keys = df.select(*key)
+    limit = hot_limit(keys, hot_rows)
+    counts = key_counts(keys, key, "__n").filter(F.col("__n") > limit)
+    return counts.select(F.struct(*key).alias("__key"), F.ceil(F.col("__n") / limit).alias(cells))
+
+
+def _look_up(df: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
+    return df.withColumn("__key", F.struct(*key)).join(F.broadcast(hot), "__key", "left").drop("__key")
+
+
+def _own_slice(df: DataFrame, cells: str) -> Column:
+    cut = F.when(F.col(cells).isNotNull(), spread(F.col(cells), df.columns))
+    return cut.otherwise(F.lit(0)).cast("int")
+
+
+def _each_slice(cells: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(cells), F.lit(1)).cast("int") - 1))
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", hot_rows: int | None = None
+) -> DataFrame:
+    """Equi-join of a log, in which a key may be hot, to a table with few rows per key.
 
-    A NULL key never matches. Left rows with one may still be hot, and struct
-    equality keeps them here; right rows with one are dropped before the join.
+    Log rows of a hot key fall into slices, and the other side's rows for that key
+    are repeated once per slice. Unlike the skew split of adaptive execution this
+    also works when the right side was just aggregated on the key, as a
+    deduplicated dimension is. ``right`` must share only the key with ``left``.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"unsupported join type: {how}")
+    hot = _hot_keys(left, key, "__cells", hot_rows)
+    lrows = _look_up(left, key, hot).withColumn("__slice", _own_slice(left, "__cells")).drop("__cells")
+    rrows = _look_up(right, key, hot).withColumn("__slice", _each_slice("__cells")).drop("__cells")
+    return lrows.join(rrows, [*key, "__slice"], how).drop("__slice")
+
 
-    def hot(df: DataFrame, cells: str) -> DataFrame:
-        keys = df.select(*key)
-        limit = hot_limit(keys, hot_rows)
-        counts = key_counts(keys, key, "__n").filter(F.col("__n") > limit)
-        return counts.select(F.struct(*key).alias("__key"), F.ceil(F.col("__n") / limit).alias(cells))
+def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int | None = None) -> DataFrame:
+    """Hot keys of either side with the number of slices each side is cut into.
 
-    both = hot(left, "__lcells").join(hot(right.dropna("any", subset=key), "__rcells"), "__key", "full")
+    A NULL key never matches: left rows with one may be hot, right ones are left out.
+    """
+    present = right.dropna("any", subset=key)
+    both = _hot_keys(left, key, "__lcells", hot_rows).join(_hot_keys(present, key, "__rcells", hot_rows), "__key", "full")
     one = F.lit(1).cast("bigint")
     return both.select(
         "__key", F.coalesce("__lcells", one).alias("__lcells"), F.coalesce("__rcells", one).alias("__rcells")
@@ -79,36 +111,19 @@ def fanout_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    grid = F.broadcast(grid if grid is not None else hot_grid(left, right, key, hot_rows))
-    lnames = [f"__l{i}" for i in range(len(key))]
+    grid = grid if grid is not None else hot_grid(left, right, key, hot_rows)
     right = right.dropna("any", subset=key)
-
-    def place(df: DataFrame, own: str, other: str, own_slice: str, other_slice: str) -> DataFrame:
-        columns = df.columns
-        placed = df.withColumn("__key", F.struct(*key)).join(grid, "__key", "left").drop("__key")
-        hot = F.col(own).isNotNull()
-        every = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)).cast("int") - 1)
-        return placed.withColumns(
-            {
-                own_slice: F.when(hot, spread(F.col(own), columns)).otherwise(F.lit(0)).cast("int"),
-                other_slice: F.explode(every),
-            }
-        )
-
-    lrows = place(left, "__lcells", "__rcells", "__lslice", "__rslice").drop("__lcells")
-    lrows = lrows.withColumnsRenamed(dict(zip(key, lnames)))
-    rrows = place(right, "__rcells", "__lcells", "__rslice_r", "__lslice_r").drop("__lcells", "__rcells")
-    rrows = rrows.withColumn("__hit", F.lit(True))
-    on = [F.col(l) == F.col(k) for l, k in zip(lnames, key)]
-    on += [F.col(s) == F.col(f"{s}_r") for s in ("__lslice", "__rslice")]
-    joined = lrows.join(rrows, on, how)
+    lrows = _look_up(left, key, grid).withColumns(
+        {"__lslice": _own_slice(left, "__lcells"), "__rslice": _each_slice("__rcells")}
+    )
+    rrows = _look_up(right, key, grid).withColumns(
+        {"__rslice": _own_slice(right, "__rcells"), "__lslice": _each_slice("__lcells"), "__hit": F.lit(True)}
+    )
+    slices = ["__lslice", "__rslice"]
+    joined = lrows.drop("__lcells").join(rrows.drop("__lcells", "__rcells"), [*key, *slices], how)
     if how == "left":
         # A key with several right slices has matches, yet one of its slices may be
         # empty and would then add a spurious unmatched row.
         spurious = (F.coalesce(F.col("__rcells"), F.lit(1)) > 1) & F.col("__hit").isNull()
         joined = joined.filter(~spurious)
-    return joined.select(
-        *[F.col(l).alias(k) for l, k in zip(lnames, key)],
-        *[c for c in left.columns if c not in key],
-        *[c for c in right.columns if c not in key],
-    )
+    return joined.drop(*slices, "__rcells", "__hit")

@@ -9,7 +9,7 @@ from lakestar import contracts as c
 from lakestar.contracts import conform
 from lakestar.functions.cleaning import blank_to_zero, fill_text, money, yes_no
 from lakestar.operators.columns import drop_duplicate_columns, merge_with_suffixes, strip_suffix
-from lakestar.operators.skew import fanout_join, hot_grid
+from lakestar.operators.skew import fanout_join, hot_grid, salted_join
 
 # Columns in which a blank stands for zero.
 ZERO_IF_BLANK = (
@@ -69,12 +69,12 @@ def bookings(calendars: DataFrame, listings: DataFrame, all_reviews: DataFrame,
     """Calendar days with their listing and, for each day, every review of the listing.
 
     Only the columns of the result enter the joins. The listing join is many to
-    one; the review join is many to many and cuts hot listings on both sides.
+    one and slices hot listings of the calendar; the review join is many to many and
+    slices both sides.
     """
     listing_columns = [n for n in c.BOOKINGS.columns if n in c.LISTING.columns and n != "id"]
-    days = calendars.select("listing_id", "adjusted_price").join(
-        listings.select(F.col("id").alias("listing_id"), F.col("id"), *listing_columns), "listing_id", "left"
-    )
+    homes = listings.select(F.col("id").alias("listing_id"), "id", *listing_columns)
+    days = salted_join(calendars.select("listing_id", "adjusted_price"), homes, ["listing_id"], "left", hot_rows)
     reviewed = all_reviews.select("listing_id", "review_id", "review_date", "reviewer_id")
     grid = hot_grid(calendars, all_reviews, ["listing_id"], hot_rows)
     joined = fanout_join(days, reviewed, ["listing_id"], "left", grid=grid)

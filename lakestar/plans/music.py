@@ -13,6 +13,7 @@ from lakestar import contracts as c
 from lakestar.functions.keys import hash_key
 from lakestar.functions.timeparts import calendar_fields, from_epoch_millis, from_epoch_millis_whole_seconds
 from lakestar.operators.lookup import natural_key_join
+from lakestar.operators.skew import salted_join
 from lakestar.operators.upsert import first_write_wins, last_write_wins, to_state
 
 # Fixed value: the page that stands for a played song.
@@ -73,7 +74,7 @@ def start_time(resolution: str = "millis") -> Column:
 
 def songplays(
     events: DataFrame, staging_songs: DataFrame, how: str = "left", ambiguous: str = "all",
-    resolution: str = "millis", distinct: bool = False,
+    resolution: str = "millis", distinct: bool = False, hot_rows: int | None = None,
 ) -> DataFrame:
     """The fact table: plays with the ids of the song and artist they match.
 
@@ -86,7 +87,7 @@ def songplays(
         "location", "user_agent", *NATURAL_KEY,
     )
     ids = ["song_id", "artist_id"]
-    joined = natural_key_join(log, staging_songs, NATURAL_KEY, ids, how, ambiguous)
+    joined = natural_key_join(log, staging_songs, NATURAL_KEY, ids, how, ambiguous, hot_rows)
     columns = ["start_time", "user_id", "level", *ids, "session_id", "location", "user_agent"]
     if distinct:
         facts = joined.select(*columns).distinct()
@@ -103,7 +104,7 @@ def songplays(
 
 def with_time(facts: DataFrame, time: DataFrame) -> DataFrame:
     """Fact rows with their calendar fields; ``time`` is unique per start time, so no row multiplies."""
-    return facts.drop("year", "month").join(time, "start_time", "left")
+    return salted_join(facts.drop("year", "month"), time, ["start_time"], "left")
 
 
 # --- one table per question -------------------------------------------------

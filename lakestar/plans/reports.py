@@ -10,7 +10,7 @@ from lakestar.functions.timeparts import from_epoch_millis, in_year
 from lakestar.functions.weblog import parse_lines, typed
 from lakestar.operators.lookup import never_seen, rows_at_maximum, top_k
 from lakestar.operators.running import label_by_anchor
-from lakestar.operators.skew import fanout_join, hot_grid
+from lakestar.operators.skew import fanout_join, hot_grid, salted_join
 
 PLAY_PAGE, DOWNGRADE_PAGE = "NextSong", "Submit Downgrade"
 
@@ -128,9 +128,8 @@ def booking_rows(
     calendars: DataFrame, listings: DataFrame, reviews: DataFrame, hot_rows: int | None = None
 ) -> DataFrame:
     """Denormalised booking rows with an explicit column list."""
-    days = calendars.select("listing_id", "date", "adjusted_price").join(
-        listings.select(F.col("id").alias("listing_id"), "name", "room_type"), "listing_id", "left"
-    )
+    homes = listings.select(F.col("id").alias("listing_id"), "name", "room_type")
+    days = salted_join(calendars.select("listing_id", "date", "adjusted_price"), homes, ["listing_id"], "left", hot_rows)
     grid = hot_grid(calendars, reviews, ["listing_id"], hot_rows)
     return fanout_join(days, reviews.select("listing_id", "review_id", "review_date"), ["listing_id"], grid=grid)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestar.contracts import struct
 from lakestar.operators.running import label_by_anchor, mean_rows_between_anchors, running_sum
-from lakestar.operators.skew import fanout_join, hot_grid
+from lakestar.operators.skew import fanout_join, hot_grid, hot_limit, salted_join
 
 
 def skewed_log(n=900, seed=7):
@@ -129,3 +129,34 @@ def test_two_column_key(spark):
     for hot_rows in (1, 10**9):
         got = fanout_join(left, right, ["k", "j"], "left", hot_rows)
         assert rows(got) == rows(left.join(right, ["k", "j"], "left"))
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 40, 5, 1])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join(spark, hot_rows, how):
+    left, right = sides(spark)
+    assert rows(salted_join(left, right, ["k"], how, hot_rows)) == rows(left.join(right, "k", how))
+    unique = right.groupBy("k").agg(F.min("b").alias("b"))
+    assert rows(salted_join(left, unique, ["k"], how, hot_rows)) == rows(left.join(unique, "k", how))
+
+
+def test_salted_join_spreads_a_hot_key_over_tasks(spark):
+    """With broadcasts off, identical copies of one hot key end up in several shuffle partitions."""
+    left = spark.range(4000, numPartitions=8).select(F.lit(1).alias("k"), F.lit("x").alias("a"))
+    right = spark.createDataFrame([(1, "y")], "k int, b string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = salted_join(left, right, ["k"], "left", 100)
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 4000 and len(sizes) > 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_default_limit_is_a_share_of_all_rows(spark):
+    pieces = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = lambda n: spark.range(1).select(hot_limit(spark.range(n)).alias("x")).first().x
+    assert limit(100) == 10_000
+    assert limit(pieces * 50_000) == 50_000
