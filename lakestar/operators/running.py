@@ -2,7 +2,8 @@
 
 A plain window puts all rows of a key into one task. Here the rows of a hot key
 are cut into consecutive slices of the order column; a slice gets the total of
-the slices before it as a start value and is summed on its own.
+the slices before it as a start value and is summed on its own. The log itself is
+shuffled once, as for the plain window.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.operators.skew import hot_limit
+from lakestar.operators.skew import hot_limit, look_up
 
 
 def _position(df: DataFrame, order: str) -> Column:
@@ -46,48 +47,49 @@ def running_sum(
     if frame == "rows" and not tiebreak:
         raise ValueError("a rows frame needs tiebreak columns, or the result depends on row order")
     direction = F.desc if descending else F.asc
-    # Struct equality treats NULL keys as equal, as window partitions do.
-    rows = df.withColumns({"__key": F.struct(*key), "__pos": _position(df, order), "__value": value})
+    rows = df.withColumns({"__pos": _position(df, order), "__value": value})
 
     limit = hot_limit(df, hot_rows)
     spans = (
-        rows.groupBy("__key")
+        rows.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))
         .filter(F.col("__n") > limit)
         # Slices are of equal width, not equal depth; eight times more of them absorbs uneven spread.
-        .select("__key", "__lo", "__hi", (F.ceil(F.col("__n") / limit) * 8).alias("__slices"))
+        .select(*key, "__lo", "__hi", (F.ceil(F.col("__n") / limit) * 8).alias("__slices"))
     )
-    width = (F.col("__hi") - F.col("__lo")).cast("double")
-    slice_no = F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(
-        F.coalesce(
-            F.when(
-                width > 0,
-                F.floor((F.col("__pos") - F.col("__lo")).cast("double") / width * (F.col("__slices") - 1)),
-            ).otherwise(F.lit(0)),
-            F.lit(-1),  # NULL positions sort lowest, as in Spark's own ordering
-        )
-    )
-    sliced = rows.join(F.broadcast(spans), "__key", "left").withColumn("__slice", slice_no.cast("int"))
-
-    before = Window.partitionBy("__key").orderBy(direction("__slice")).rowsBetween(Window.unboundedPreceding, -1)
+    # The starts of all slices of a hot key fit one row: there are as many as the key has slices.
+    before = Window.partitionBy(*key).orderBy(direction("__slice")).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        sliced.filter(F.col("__slices").isNotNull())
-        .groupBy("__key", "__slice")
+        look_up(rows, key, spans)
+        .filter(F.col("__slices").isNotNull())
+        .groupBy(*key, "__lo", "__hi", "__slices", _slice_number().alias("__slice"))
         .agg(F.sum("__value").alias("__total"))
-        .select("__key", "__slice", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__start"))
+        .withColumn("__start", F.coalesce(F.sum("__total").over(before), F.lit(0)))
+        .groupBy(*key, "__lo", "__hi", "__slices")
+        .agg(F.map_from_entries(F.collect_list(F.struct("__slice", "__start"))).alias("__starts"))
     )
-    within = Window.partitionBy("__key", "__slice")
+    sliced = look_up(rows, key, starts).withColumn(
+        "__slice", F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(_slice_number())
+    )
+    sliced = sliced.select(*df.columns, "__pos", "__value", "__slice", F.col("__starts")[F.col("__slice")].alias("__start"))
+
+    within = Window.partitionBy(*key, "__slice")
     if frame == "rows":
         ordering = [direction("__pos"), *[F.asc(c) for c in tiebreak]]
         within = within.orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
     else:
         within = within.orderBy(direction("__pos")).rangeBetween(Window.unboundedPreceding, 0)
-    return (
-        # Joined on the columns the window partitions by, so its shuffle serves both.
-        sliced.join(starts, ["__key", "__slice"], "left")
-        .withColumn(name, F.sum("__value").over(within) + F.coalesce(F.col("__start"), F.lit(0)))
-        .select(*df.columns, name)
-    )
+    total = F.sum("__value").over(within) + F.coalesce(F.col("__start"), F.lit(0))
+    return sliced.withColumn(name, total).select(*df.columns, name)
+
+
+def _slice_number() -> Column:
+    """Which slice of its key's span a row lies in, counted along the order column."""
+    width = (F.col("__hi") - F.col("__lo")).cast("double")
+    share = (F.col("__pos") - F.col("__lo")).cast("double") / width
+    within = F.when(width > 0, F.floor(share * (F.col("__slices") - 1))).otherwise(F.lit(0))
+    # NULL positions get the lowest slice, which is where Spark's own ordering puts them.
+    return F.when(F.col("__pos").isNull(), F.lit(-1)).otherwise(within).cast("int")
 
 
 def label_by_anchor(

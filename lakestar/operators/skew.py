@@ -44,15 +44,18 @@ def key_counts(df: DataFrame, key: list[str], name: str) -> DataFrame:
 
 
 def _hot_keys(df: DataFrame, key: list[str], cells: str, hot_rows: int | None) -> DataFrame:
-    """``(__key, cells)`` of the hot keys; struct equality keeps keys with NULL parts."""
+    """The hot keys with the number of slices each is cut into; a NULL key counts like any other."""
     keys = df.select(*key)
     limit = hot_limit(keys, hot_rows)
     counts = key_counts(keys, key, "__n").filter(F.col("__n") > limit)
-    return counts.select(F.struct(*key).alias("__key"), F.ceil(F.col("__n") / limit).alias(cells))
+    return counts.select(*key, F.ceil(F.col("__n") / limit).alias(cells))
 
 
-def _look_up(df: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
-    return df.withColumn("__key", F.struct(*key)).join(F.broadcast(hot), "__key", "left").drop("__key")
+def look_up(df: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
+    """Left join to a broadcast table of hot keys; NULL meets NULL, as in grouping."""
+    names = {k: f"__k{i}" for i, k in enumerate(key)}
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return df.join(F.broadcast(hot.withColumnsRenamed(names)), same, "left").drop(*names.values())
 
 
 def _own_slice(df: DataFrame, cells: str) -> Column:
@@ -77,8 +80,8 @@ def salted_join(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     hot = _hot_keys(left, key, "__cells", hot_rows)
-    lrows = _look_up(left, key, hot).withColumn("__slice", _own_slice(left, "__cells")).drop("__cells")
-    rrows = _look_up(right, key, hot).withColumn("__slice", _each_slice("__cells")).drop("__cells")
+    lrows = look_up(left, key, hot).withColumn("__slice", _own_slice(left, "__cells")).drop("__cells")
+    rrows = look_up(right, key, hot).withColumn("__slice", _each_slice("__cells")).drop("__cells")
     return lrows.join(rrows, [*key, "__slice"], how).drop("__slice")
 
 
@@ -87,12 +90,10 @@ def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int |
 
     A NULL key never matches: left rows with one may be hot, right ones are left out.
     """
-    present = right.dropna("any", subset=key)
-    both = _hot_keys(left, key, "__lcells", hot_rows).join(_hot_keys(present, key, "__rcells", hot_rows), "__key", "full")
-    one = F.lit(1).cast("bigint")
-    return both.select(
-        "__key", F.coalesce("__lcells", one).alias("__lcells"), F.coalesce("__rcells", one).alias("__rcells")
-    )
+    lhot = _hot_keys(left, key, "__lcells", hot_rows)
+    rhot = _hot_keys(right.dropna("any", subset=key), key, "__rcells", hot_rows)
+    sides = lhot.withColumn("__rcells", F.lit(1).cast("bigint")).unionByName(rhot.withColumn("__lcells", F.lit(1).cast("bigint")))
+    return sides.groupBy(*key).agg(F.max("__lcells").alias("__lcells"), F.max("__rcells").alias("__rcells"))
 
 
 def fanout_join(
@@ -113,10 +114,10 @@ def fanout_join(
         raise ValueError(f"unsupported join type: {how}")
     grid = grid if grid is not None else hot_grid(left, right, key, hot_rows)
     right = right.dropna("any", subset=key)
-    lrows = _look_up(left, key, grid).withColumns(
+    lrows = look_up(left, key, grid).withColumns(
         {"__lslice": _own_slice(left, "__lcells"), "__rslice": _each_slice("__rcells")}
     )
-    rrows = _look_up(right, key, grid).withColumns(
+    rrows = look_up(right, key, grid).withColumns(
         {"__rslice": _own_slice(right, "__rcells"), "__lslice": _each_slice("__lcells"), "__hit": F.lit(True)}
     )
     slices = ["__lslice", "__rslice"]
