@@ -21,10 +21,10 @@ def _finding(counted: DataFrame, check: str, table: str, detail: str) -> DataFra
     )
 
 
-def row_parity(before: DataFrame, after: DataFrame, table: str) -> DataFrame:
-    """Row counts before and after a write differ by ``bad``. Each side is counted once."""
-    sides = before.select(F.lit(1).alias("w")).unionAll(after.select(F.lit(-1).alias("w")))
-    return _finding(sides.agg(F.abs(F.sum("w")).alias("bad")), "row_parity", table, "rows")
+def row_parity(expected: int, after: DataFrame, table: str) -> DataFrame:
+    """How many rows a table holds more or fewer than were written to it."""
+    counted = after.agg(F.abs(F.count(F.lit(1)) - F.lit(expected)).alias("bad"))
+    return _finding(counted, "row_parity", table, "rows")
 
 
 def not_empty(df: DataFrame, table: str) -> DataFrame:

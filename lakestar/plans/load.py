@@ -1,4 +1,4 @@
-"""The periodic load: stage, fact, dimensions, checks."""
+"""The periodic loads: stage, fact, dimensions, checks."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestar import contracts as c
 from lakestar.operators import quality
 from lakestar.operators.upsert import from_state
-from lakestar.plans import music
+from lakestar.plans import lodging, music
 from lakestar.sources.files import read_table, stage
 from lakestar.sources.sinks import write_table
 
@@ -34,19 +34,45 @@ def run_load(
         c.ARTISTS: music.artists(songs),
         c.TIME: music.time_dimension(events, resolution),
     }
-    tables = {}
+    return _write_and_check(spark, built, root)
+
+
+def run_lodging_load(
+    detailed: DataFrame, summary: DataFrame, raw_calendar: DataFrame, raw_neighbourhoods: DataFrame,
+    raw_reviews: DataFrame, root: str,
+) -> dict[str, DataFrame]:
+    """Load the lodging tables from their files; returns the written tables and the ``findings``.
+
+    The bookings fact is built from the written dimensions, not from the raw files again.
+    """
+    spark: SparkSession = detailed.sparkSession
+    dimensions = {
+        c.LISTING: lodging.listing(detailed, summary),
+        c.CALENDAR: lodging.calendar(raw_calendar),
+        c.NEIGHBOURHOODS: lodging.neighbourhoods(raw_neighbourhoods),
+        c.REVIEWS: lodging.reviews(raw_reviews),
+    }
+    tables = _write_and_check(spark, dimensions, root)
+    fact = {c.BOOKINGS: lodging.bookings(tables["calendar"], tables["listing"], tables["reviews"])}
+    bookings = _write_and_check(spark, fact, root)
+    findings = tables.pop("findings").unionByName(bookings.pop("findings"))
+    return {**tables, **bookings, "findings": findings}
+
+
+def _write_and_check(spark: SparkSession, built: dict[c.Contract, DataFrame], root: str) -> dict[str, DataFrame]:
+    tables, written = {}, {}
     for contract, df in built.items():
-        write_table(df, contract, f"{root}/{contract.name}")
+        written[contract.name] = write_table(df, contract, f"{root}/{contract.name}")
         tables[contract.name] = read_table(spark, f"{root}/{contract.name}", contract)
-    tables["findings"] = check_star(tables)
-    return tables
+    return {**tables, "findings": check_tables(list(built), tables, written)}
 
 
-def check_star(tables: dict[str, DataFrame]) -> DataFrame:
-    """Contract, reference and emptiness checks over the written star."""
+def check_tables(contracts: list[c.Contract], tables: dict[str, DataFrame], written: dict[str, int]) -> DataFrame:
+    """Row parity, emptiness, contract and reference checks over written tables."""
     findings = []
-    for contract in c.MUSIC_STAR:
+    for contract in contracts:
         table = tables[contract.name]
+        findings.append(quality.row_parity(written[contract.name], table, contract.name))
         findings += [quality.not_empty(table, contract.name), quality.contract_findings(table, contract)]
         for column, (parent, parent_column) in contract.references.items():
             findings.append(quality.references(table, column, tables[parent], parent_column, contract.name))

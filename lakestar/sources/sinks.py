@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from lakestar.contracts import Contract, conform
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Parquet write, optionally hive-partitioned.
+def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> int:
+    """Parquet write, optionally hive-partitioned; returns the number of rows written.
 
     Before a partitioned write rows are brought together by partition key with a
     REBALANCE: like a repartition it avoids a small file per task and key, but
     adaptive execution splits a key that holds much of the data over many tasks.
+    Rows are counted on the way to the files, so nothing is computed twice.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    written = Observation()
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    return written.get["rows"]
 
 
-def write_table(df: DataFrame, contract: Contract, path: str, mode: str = "overwrite") -> None:
-    """Conform to the contract and write with its partitioning."""
-    write_parquet(conform(df, contract), path, contract.partition_by, mode)
+def write_table(df: DataFrame, contract: Contract, path: str, mode: str = "overwrite") -> int:
+    """Conform to the contract and write with its partitioning; returns the rows written."""
+    return write_parquet(conform(df, contract), path, contract.partition_by, mode)
 
 
 def write_clustered(df: DataFrame, contract: Contract, path: str, partitions: int | None = None) -> None:

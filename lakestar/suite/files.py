@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.contracts import Contract, struct
+from lakestar.contracts import PAYMENTS, STAGING_EVENTS, STAGING_SONGS, Contract, conform, struct
 from lakestar.operators import quality as q
-from lakestar.plans.load import run_load
+from lakestar.plans import music
+from lakestar.plans.load import run_load, run_lodging_load
+from lakestar.plans.reports import revenue_per_month
 from lakestar.session import work_dir
 from lakestar.sources import files, sinks
 from lakestar.streaming.incremental import DeltaLog, append_batch, file_stream, ingest_available, read_batches
+from lakestar.streaming.star import StarStream
 from lakestar.suite import query
+from lakestar.suite.lodging import CALENDAR_SQL, LISTING_SQL, REVIEWS_SQL, calendar_file, listing_files, places, review_file
+from lakestar.suite.music import LOOKUP_FACTS_SQL, fact_columns
 from lakestar.suite.tables import CATALOGUE_SQL, PLAY_LOG_SQL, Tables
 
 
@@ -88,6 +96,30 @@ def csv_tree_union(t: Tables):
     return files.read_csv(t.spark, root, schema, tree=True, glob="*.csv")
 
 
+@query("event_subset_csv", f"""WITH {PLAY_LOG_SQL}
+SELECT artist, first_name, gender, item_in_session, last_name, length, level, location, session_id, song, user_id
+FROM play_log WHERE artist <> ''""")
+def event_subset_csv(t: Tables):
+    root = work_dir(t.spark, "csv")
+    subset = music.event_subset(t.play_log())
+    sinks.write_csv(subset, root, quote_all=True)
+    return files.read_csv(t.spark, root, subset.schema)
+
+
+@query("revenue_from_payment_files", """SELECT CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM orders GROUP BY 1""")
+def revenue_from_payment_files(t: Tables):
+    root = work_dir(t.spark, "csv")
+    payments = t.orders.select(
+        F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("customer_id"), F.lit(1).alias("staff_id"),
+        F.col("o_orderkey").alias("rental_id"), F.col("o_totalprice").alias("amount"),
+        F.to_date("o_orderdate").alias("payment_date"),
+    )
+    sinks.write_csv(payments, root, sep=";")
+    read = files.read_csv(t.spark, root, PAYMENTS.schema, sep=";")
+    return revenue_per_month(read).withColumn("revenue", F.col("revenue").cast("double"))
+
+
 @query("gzip_text_lines", "SELECT url AS value FROM pages")
 def gzip_text_lines(t: Tables):
     root = work_dir(t.spark, "text")
@@ -135,8 +167,8 @@ def staged_appends(t: Tables):
        CAST(0 AS BIGINT) AS bad""")
 def row_parity_after_write(t: Tables):
     root = work_dir(t.spark, "table")
-    sinks.write_table(_orders(t), ORDERS, root)
-    return q.row_parity(t.orders, files.read_table(t.spark, root, ORDERS), "orders")
+    written = sinks.write_table(_orders(t), ORDERS, root)
+    return q.row_parity(written, files.read_table(t.spark, root, ORDERS), "orders")
 
 
 # --- incremental -----------------------------------------------------------------
@@ -176,6 +208,27 @@ def streamed_facts(t: Tables):
     return read_batches(t.spark, root)
 
 
+@query("streamed_star_facts", LOOKUP_FACTS_SQL)
+def streamed_star_facts(t: Tables):
+    songs, events = work_dir(t.spark, "song-files"), work_dir(t.spark, "event-files")
+    t.catalogue().repartition(2).write.json(songs)
+    conform(t.play_log(), STAGING_EVENTS).repartition(4).write.json(events)
+    star = StarStream(work_dir(t.spark, "star"))
+    star.load_songs(file_stream(t.spark, songs, STAGING_SONGS.schema, max_files=1))
+    star.load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=2))
+    return fact_columns(star.songplays(t.spark))
+
+
+@query("lodging_load_row_counts", f"""WITH {LISTING_SQL}, {CALENDAR_SQL}, {REVIEWS_SQL}
+SELECT 'listing' AS "table", count(*) AS rows FROM listing UNION ALL SELECT 'calendar', count(*) FROM calendar
+UNION ALL SELECT 'reviews', count(*) FROM reviews UNION ALL SELECT 'neighbourhoods', count(*) FROM nation
+UNION ALL SELECT 'bookings', count(*) FROM calendar c LEFT JOIN reviews r ON r.listing_id = c.listing_id""")
+def lodging_load_row_counts(t: Tables):
+    detailed, summary = listing_files(t)
+    loaded = run_lodging_load(detailed, summary, calendar_file(t), places(t), review_file(t), work_dir(t.spark, "lodging"))
+    return _row_counts(loaded, ("listing", "calendar", "reviews", "neighbourhoods", "bookings"))
+
+
 @query("full_load_row_counts", f"""WITH {PLAY_LOG_SQL}, {CATALOGUE_SQL}
 SELECT 'songplays' AS "table", count(*) AS rows FROM play_log WHERE page = 'NextSong'
 UNION ALL SELECT 'users', count(DISTINCT user_id) FROM play_log WHERE page = 'NextSong'
@@ -183,14 +236,15 @@ UNION ALL SELECT 'time', count(DISTINCT ts) FROM play_log WHERE page = 'NextSong
 UNION ALL SELECT 'songs', count(DISTINCT song_id) FROM catalogue
 UNION ALL SELECT 'artists', count(DISTINCT artist_id) FROM catalogue""")
 def full_load_row_counts(t: Tables):
-    from functools import reduce
-
     loaded = run_load(t.play_log(), t.catalogue(), work_dir(t.spark, "star"))
+    return _row_counts(loaded, ("songplays", "users", "time", "songs", "artists"))
+
+
+def _row_counts(tables: dict[str, DataFrame], names: tuple[str, ...]) -> DataFrame:
     counts = [
-        loaded[name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name in ("songplays", "users", "time", "songs", "artists")
+        tables[name].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows") for name in names
     ]
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("full_load_findings", f"""WITH {PLAY_LOG_SQL}, keys AS (

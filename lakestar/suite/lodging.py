@@ -56,23 +56,35 @@ def listing(t: Tables):
     return lodging.listing(*listing_files(t))
 
 
-def calendar(t: Tables):
+def calendar_file(t: Tables):
     flag = F.when(F.col("o_orderstatus") == "O", "t").when(F.col("o_orderstatus") == "F", "f")
     price = F.concat(F.lit("$"), F.format_number("o_totalprice", 2))
-    raw = t.orders.select(
+    return t.orders.select(
         F.col("o_custkey").alias("listing_id"), F.col("o_orderdate").alias("date"), flag.alias("available"),
         price.alias("adjusted_price"), F.lit(1).alias("minimum_nights"), F.lit(30).alias("maximum_nights"),
     )
-    return lodging.calendar(raw)
 
 
-def reviews(t: Tables):
-    raw = t.events.select(
+def calendar(t: Tables):
+    return lodging.calendar(calendar_file(t))
+
+
+def review_file(t: Tables):
+    return t.events.select(
         F.col("user_id").alias("listing_id"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("date"),
         F.col("user_id").alias("reviewer_id"), F.col("event_type").alias("reviewer_name"),
         F.col("props").alias("comments"),
     )
-    return lodging.reviews(raw)
+
+
+def reviews(t: Tables):
+    return lodging.reviews(review_file(t))
+
+
+def places(t: Tables):
+    """Nations as neighbourhoods, regions as their groups."""
+    joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select(F.col("r_name").alias("neighbourhood_group"), F.col("n_name").alias("neighbourhood"))
 
 
 @query("listing_merged_columns", f"""WITH {LISTING_SQL}
@@ -107,10 +119,7 @@ def calendar_table(t: Tables):
 @query("neighbourhoods_table", """SELECT r_name AS neighbourhood_group, n_name AS neighbourhood
 FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def neighbourhoods_table(t: Tables):
-    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return lodging.neighbourhoods(
-        places.select(F.col("r_name").alias("neighbourhood_group"), F.col("n_name").alias("neighbourhood"))
-    )
+    return lodging.neighbourhoods(places(t))
 
 
 @query("reviews_table", f"""WITH {REVIEWS_SQL}

@@ -108,7 +108,7 @@ def _key_sql(*parts: str) -> str:
     return "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts) + "))"
 
 
-def _fact(df):
+def fact_columns(df):
     return df.withColumn("start_us", F.unix_micros("start_time")).drop("start_time")
 
 
@@ -120,7 +120,7 @@ def _fact(df):
 SELECT {_key_sql('session_id', 'start_us', 'user_id', 'level', 'song_id', 'artist_id', 'location', 'user_agent')}
        AS songplay_id, start_us, {FACT_COLUMNS} FROM facts""")
 def songplays_inner_distinct(t: Tables):
-    return _fact(music.songplays(t.play_log(users=False), t.catalogue(), "inner", resolution="seconds", distinct=True))
+    return fact_columns(music.songplays(t.play_log(users=False), t.catalogue(), "inner", resolution="seconds", distinct=True))
 
 
 @query("songplays_left_md5", f"""{STAR_SQL}, facts AS (
@@ -131,10 +131,10 @@ def songplays_inner_distinct(t: Tables):
 SELECT {_key_sql('session_id', 'start_us', 'item_in_session', 'song_id')} AS songplay_id, start_us, {FACT_COLUMNS}
 FROM facts""")
 def songplays_left_md5(t: Tables):
-    return _fact(music.songplays(t.play_log(users=False), t.catalogue(), "left", resolution="seconds"))
+    return fact_columns(music.songplays(t.play_log(users=False), t.catalogue(), "left", resolution="seconds"))
 
 
-@query("songplays_lookup_first", f"""{STAR_SQL}, lookup AS (
+LOOKUP_FACTS_SQL = f"""{STAR_SQL}, lookup AS (
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title, artist_name, duration ORDER BY song_id, artist_id)
                    AS rn FROM catalogue) WHERE rn = 1),
 facts AS (
@@ -142,9 +142,12 @@ facts AS (
     FROM play_log LEFT JOIN lookup ON song = title AND artist = artist_name AND length = duration
     WHERE page = 'NextSong')
 SELECT {_key_sql('session_id', 'start_us', 'item_in_session', 'song_id')} AS songplay_id, start_us, {FACT_COLUMNS}
-FROM facts""")
+FROM facts"""
+
+
+@query("songplays_lookup_first", LOOKUP_FACTS_SQL)
 def songplays_lookup_first(t: Tables):
-    return _fact(music.songplays(t.play_log(users=False), t.catalogue(), "left", ambiguous="first"))
+    return fact_columns(music.songplays(t.play_log(users=False), t.catalogue(), "left", ambiguous="first"))
 
 
 @query("songplays_with_time", f"""{STAR_SQL}
