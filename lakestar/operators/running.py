@@ -49,7 +49,7 @@ def running_sum(
     direction = F.desc if descending else F.asc
     rows = df.withColumns({"__pos": _position(df, order), "__value": value})
 
-    limit = hot_limit(df, hot_rows)
+    limit = hot_limit(df.agg(F.count(F.lit(1))), hot_rows)
     spans = (
         rows.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))

@@ -17,16 +17,15 @@ MIN_HOT_ROWS = 10_000
 PIECES_PER_PARTITION = 4
 
 
-def hot_limit(df: DataFrame, hot_rows: int | None = None) -> Column:
+def hot_limit(total: DataFrame, hot_rows: int | None = None) -> Column:
     """Rows a key may hold before it is split: ``hot_rows``, or a share of all rows.
 
-    The total is a scalar subquery over a column-less count of the same plan.
+    ``total`` is a frame of one number, the row count; it runs as a scalar subquery.
     """
     if hot_rows is not None:
         return F.lit(hot_rows)
-    pieces = PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return F.greatest(F.lit(MIN_HOT_ROWS), F.ceil(total / F.lit(pieces)))
+    pieces = PIECES_PER_PARTITION * int(total.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.greatest(F.lit(MIN_HOT_ROWS), F.ceil(total.scalar() / F.lit(pieces)))
 
 
 def spread(n: Column, columns: list[str]) -> Column:
@@ -45,10 +44,10 @@ def key_counts(df: DataFrame, key: list[str], name: str) -> DataFrame:
 
 def _hot_keys(df: DataFrame, key: list[str], cells: str, hot_rows: int | None) -> DataFrame:
     """The hot keys with the number of slices each is cut into; a NULL key counts like any other."""
-    keys = df.select(*key)
-    limit = hot_limit(keys, hot_rows)
-    counts = key_counts(keys, key, "__n").filter(F.col("__n") > limit)
-    return counts.select(*key, F.ceil(F.col("__n") / limit).alias(cells))
+    counts = key_counts(df, key, "__n")
+    # Summing the counts lets the subquery reuse their shuffle instead of reading the log again.
+    limit = hot_limit(counts.agg(F.sum("__n")), hot_rows)
+    return counts.filter(F.col("__n") > limit).select(*key, F.ceil(F.col("__n") / limit).alias(cells))
 
 
 def look_up(df: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
