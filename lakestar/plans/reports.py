@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions.text import tagged_words, word_count
@@ -134,6 +134,6 @@ def booking_rows(
     return fanout_join(days, reviews.select("listing_id", "review_id", "review_date"), ["listing_id"], grid=grid)
 
 
-def sample(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:
+def sample(df: DataFrame, order: list[str | Column], n: int = 10) -> DataFrame:
     """The first n rows in a fixed order."""
     return df.orderBy(*order).limit(n)

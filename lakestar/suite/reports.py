@@ -298,6 +298,13 @@ def booking_rows(t: Tables):
     )
 
 
+@query("sample_rows", """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
+def sample_rows(t: Tables):
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return reports.sample(rows, [F.desc("o_totalprice"), "o_orderkey"])
+
+
 @query("availability_flags", f"""SELECT o_orderstatus AS flag, count(*) AS days,
        CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS available
 FROM orders GROUP BY o_orderstatus""")
