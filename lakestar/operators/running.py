@@ -57,21 +57,17 @@ def running_sum(
         # Slices are of equal width, not equal depth; eight times more of them absorbs uneven spread.
         .select(*key, "__lo", "__hi", (F.ceil(F.col("__n") / limit) * 8).alias("__slices"))
     )
-    # The starts of all slices of a hot key fit one row: there are as many as the key has slices.
+    number = F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(_slice_number())
+    sliced = look_up(rows, key, spans).withColumn("__slice", number)
     before = Window.partitionBy(*key).orderBy(direction("__slice")).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per slice of a hot key, so this table is bounded as the hot keys are.
     starts = (
-        look_up(rows, key, spans)
-        .filter(F.col("__slices").isNotNull())
-        .groupBy(*key, "__lo", "__hi", "__slices", _slice_number().alias("__slice"))
+        sliced.filter(F.col("__slices").isNotNull())
+        .groupBy(*key, "__slice")
         .agg(F.sum("__value").alias("__total"))
-        .withColumn("__start", F.coalesce(F.sum("__total").over(before), F.lit(0)))
-        .groupBy(*key, "__lo", "__hi", "__slices")
-        .agg(F.map_from_entries(F.collect_list(F.struct("__slice", "__start"))).alias("__starts"))
+        .select(*key, "__slice", F.sum("__total").over(before).alias("__start"))
     )
-    sliced = look_up(rows, key, starts).withColumn(
-        "__slice", F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(_slice_number())
-    )
-    sliced = sliced.select(*df.columns, "__pos", "__value", "__slice", F.col("__starts")[F.col("__slice")].alias("__start"))
+    placed = look_up(sliced.drop("__lo", "__hi", "__slices"), [*key, "__slice"], starts)
 
     within = Window.partitionBy(*key, "__slice")
     if frame == "rows":
@@ -80,7 +76,7 @@ def running_sum(
     else:
         within = within.orderBy(direction("__pos")).rangeBetween(Window.unboundedPreceding, 0)
     total = F.sum("__value").over(within) + F.coalesce(F.col("__start"), F.lit(0))
-    return sliced.withColumn(name, total).select(*df.columns, name)
+    return placed.withColumn(name, total).select(*df.columns, name)
 
 
 def _slice_number() -> Column:
