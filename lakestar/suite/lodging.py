@@ -9,7 +9,7 @@ from lakestar.suite import query
 from lakestar.suite.tables import Tables
 
 LISTING_SQL = """listing AS (
-    SELECT c_custkey AS id, c_name AS name, 'in ' || n_name AS description, 1000 + c_nationkey * 3 AS host_id,
+    SELECT c_custkey AS id, c_name AS name, 'in ' || n_name AS description, CAST(1000 + c_nationkey * 3 AS BIGINT) AS host_id,
            r_name AS host_name, epoch_us(CAST(DATE '2010-01-01' + c_nationkey * 37 AS TIMESTAMP)) AS host_since_us,
            'scrape' AS source, CAST(n_nationkey AS DOUBLE) AS latitude, CAST(n_regionkey AS DOUBLE) AS longitude,
            CAST(c_acctbal AS DECIMAL(12,2)) AS price, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE 4.5 END AS review_scores_rating,
