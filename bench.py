@@ -15,7 +15,7 @@ from lakestar.suite import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 HEADLINE = (
     "mean_songs_between_home", "downgrade_timeline", "running_sum_range", "running_sum_rows",

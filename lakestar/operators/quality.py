@@ -32,21 +32,42 @@ def not_empty(df: DataFrame, table: str) -> DataFrame:
     return _finding(counted, "not_empty", table, "rows")
 
 
+def _key_repeats(key: list[str]) -> Column:
+    """Over rows ``(key, n)``: rows with a NULL key part plus rows beyond the first of a key."""
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    return F.sum(F.when(null_key, F.col("n")).otherwise(F.col("n") - 1))
+
+
+def _rows_of(counts: DataFrame, table: str, found: list[tuple[str, str, str]]) -> DataFrame:
+    """One wide row of counts to a finding per ``(check, detail, count column)``."""
+    cells = [
+        F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(detail).alias("detail"),
+                 F.coalesce(F.col(column), F.lit(0)).cast("long").alias("bad"))
+        for check, detail, column in found
+    ]
+    return counts.select(F.explode(F.array(*cells)).alias("f")).select("f.*")
+
+
 def primary_key(df: DataFrame, key: list[str], table: str) -> DataFrame:
     """Rows with a NULL key part plus rows beyond the first of a key."""
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    bad = F.sum(F.when(null_key, F.col("n")).otherwise(F.col("n") - 1))
-    return _finding(per_key.agg(bad.alias("bad")), "primary_key", table, ",".join(key))
+    return keys_and_nulls(df, key, [], table)
 
 
 def not_null(df: DataFrame, columns: list[str], table: str) -> DataFrame:
     """NULLs per column that must have none, in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("detail"), F.col(c).alias("bad")) for c in columns]))
-    return counts.select(rows.alias("r")).select(
-        F.lit("not_null").alias("check"), F.lit(table).alias("table"), "r.detail", "r.bad"
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns])
+    return _rows_of(counts, table, [("not_null", c, f"null_{c}") for c in columns])
+
+
+def keys_and_nulls(df: DataFrame, key: list[str], columns: list[str], table: str) -> DataFrame:
+    """Key and NULL checks from a single scan: NULLs are counted per key on the way."""
+    nulls = {c: f"null_{c}" for c in columns}
+    per_key = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()]
     )
+    counts = per_key.agg(_key_repeats(key).alias("repeats"), *[F.sum(n).alias(n) for n in nulls.values()])
+    found = [("primary_key", ",".join(key), "repeats"), *[("not_null", c, n) for c, n in nulls.items()]]
+    return _rows_of(counts, table, found)
 
 
 def references(child: DataFrame, column: str, parent: DataFrame, parent_column: str, table: str) -> DataFrame:
@@ -72,11 +93,12 @@ def schema_matches(df: DataFrame, contract: Contract) -> DataFrame:
 
 def contract_findings(df: DataFrame, contract: Contract) -> DataFrame:
     """Schema, key and NULL checks a contract implies."""
+    key, required = list(contract.key), list(contract.not_null)
     parts = [schema_matches(df, contract)]
-    if contract.key:
-        parts.append(primary_key(df, list(contract.key), contract.name))
-    if contract.not_null:
-        parts.append(not_null(df, list(contract.not_null), contract.name))
+    if key:
+        parts.append(keys_and_nulls(df, key, required, contract.name))
+    elif required:
+        parts.append(not_null(df, required, contract.name))
     return reduce(DataFrame.unionByName, parts)
 
 
