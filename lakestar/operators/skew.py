@@ -91,7 +91,8 @@ def hot_grid(left: DataFrame, right: DataFrame, key: list[str], hot_rows: int |
     """
     lhot = _hot_keys(left, key, "__lcells", hot_rows)
     rhot = _hot_keys(right.dropna("any", subset=key), key, "__rcells", hot_rows)
-    sides = lhot.withColumn("__rcells", F.lit(1).cast("bigint")).unionByName(rhot.withColumn("__lcells", F.lit(1).cast("bigint")))
+    uncut = F.lit(1).cast("bigint")
+    sides = lhot.withColumn("__rcells", uncut).unionByName(rhot.withColumn("__lcells", uncut))
     return sides.groupBy(*key).agg(F.max("__lcells").alias("__lcells"), F.max("__rcells").alias("__rcells"))
 
 
