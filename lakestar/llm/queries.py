@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from lakestar.llm import substring_dedup
+from lakestar.llm import curriculum, jaccard_join, line_dedup, piece_trie, quality_model, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
+    "op5_quality_classifier": quality_model.op5_quality_classifier,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_source_mix": curriculum.op9_source_mix,
+    "op10_sentencepiece": piece_trie.op10_sentencepiece,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.OP1_SQL,
+    "op3_jaccard_join": jaccard_join.OP3_SQL,
+    "op8_line_dedup": line_dedup.OP8_SQL,
+    "op9_source_mix": curriculum.OP9_SQL,
 }

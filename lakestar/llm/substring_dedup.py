@@ -8,7 +8,9 @@ as one packed string to the minimiser's bucket, where sorting finds windows that
    what has a minimiser of its own travels no further.
 2. The rest is cut from the texts and dealt out by minimiser; each bucket sorts its windows.
    Windows that sort together are compared byte by byte.
-3. A bucket of over ``HOT`` super-k-mers is not put in one task: equal packed strings are
+3. Copies of a whole text are found by its digest beforehand: all their windows are repeated,
+   and one of them stands for all in the search.
+4. A bucket of over ``HOT`` super-k-mers is not put in one task: equal packed strings are
    counted first (a copied text shrinks to one string), then the windows of distinct strings
    are counted as rows, both combined before the shuffle.
 
@@ -33,6 +35,7 @@ from lakestar.llm.words import Words, grams, inside, lists, pieces, strings
 WINDOW = 35
 MER = 8
 HOT = 2000
+WHOLE = 2**31 - 1
 RUNS = "doc_id long, text_key long, start int, stop int"
 
 
@@ -220,7 +223,7 @@ def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 steps = np.zeros(len(words) + 1, np.int64)
                 part = ranges[i].values
                 np.add.at(steps, part.field("start").to_numpy(), 1)
-                np.add.at(steps, part.field("stop").to_numpy(), -1)
+                np.add.at(steps, np.minimum(part.field("stop").to_numpy(), len(words)), -1)
                 gone = np.cumsum(steps)[:-1] > 0
                 kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
             else:
@@ -235,11 +238,28 @@ def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
+def copies_of_texts(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_key, stands)`` of the documents whose whole text another one has; one of each group stands for it."""
+    rows = docs.select("doc_id", "text_key", F.md5("text").alias("digest")).where("digest IS NOT NULL").distinct()
+    groups = saved(rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_key")).alias("least")).where("n > 1"), "dedup-groups")
+    return saved(
+        rows.join(groups, "digest").select("doc_id", "text_key", F.struct("doc_id", "text_key").eqNullSafe(F.col("least")).alias("stands")),
+        "dedup-copies")
+
+
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot_rows: int = HOT) -> DataFrame:
-    """Word ranges ``[start, stop)`` of every window that occurs elsewhere too, a row per range."""
+    """Word ranges ``[start, stop)`` of every window that occurs elsewhere too, a row per range.
+
+    A range of a copied text ends at ``WHOLE``, behind its last word.
+    """
     docs = keyed(docs)
+    copied = copies_of_texts(docs)
     mini = saved(
         docs.mapInArrow(minimisers(window, mer), "doc_id long, text_key long, start int, n int, mini long"), "dedup-mini")
+    others = copied.where("not stands")
+    whole = mini.join(copied, same_row(mini, copied), "left_semi").select("doc_id", "text_key").distinct().select(
+        "doc_id", "text_key", F.lit(0).alias("start"), F.lit(WHOLE).alias("stop"))
+    mini = mini.join(others, same_row(mini, others), "left_anti")
     shared = saved(mini.groupBy("mini").agg(F.count("*").alias("rows")).where("rows > 1").select(
         "mini", (F.col("rows") > hot_rows).alias("hot")), "dedup-shared")
     listed = mini.join(shared, "mini").groupBy("doc_id", "text_key").agg(
@@ -250,7 +270,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot_r
     cold = (
         packed.where("not hot").repartition("mini").sortWithinPartitions("mini")
         .mapInArrow(buckets(window), RUNS))
-    return saved(cold.unionByName(hot_runs(packed.where("hot"), window)), "dedup-ranges")
+    return saved(cold.unionByName(hot_runs(packed.where("hot"), window)).unionByName(whole), "dedup-ranges")
 
 
 def remove_repeated(docs: DataFrame, **options) -> DataFrame:
