@@ -131,31 +131,32 @@ def post(shared):
             cid = batch.column("cid").to_numpy()[row]
             salts = counts[bucket(token)] // GROUP_ROWS + 1
             yield pa.RecordBatch.from_arrays([
-                pa.array(token.view(np.int64)), pa.array((cid % salts).astype(np.int32)), pa.array(cid),
+                pa.array(token.view(np.int64)), pa.array((cid % salts).astype(np.int32)), pa.array(salts > 1), pa.array(cid),
                 pa.array(batch.column("n").to_numpy()[row].astype(np.int32)),
                 pa.array((np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)),
                 pa.array(batch.column("central").to_numpy()[row].astype(np.float32))],
-                ["token", "salt", "cid", "n", "pos", "central"])
+                ["token", "salt", "salted", "cid", "n", "pos", "central"])
     return run
 
 
-POSTED = "token long, salt int, cid long, n int, pos int, central float"
+POSTED = "token long, salt int, salted boolean, cid long, n int, pos int, central float"
 STARRED = "token long, cid long, n int, pos int, pivot long, pivot_n int, pivot_pos int"
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted postings come in; those of groups of two or more go out with their group's first row.
 
+    Rows of salted groups always go out, for their shingle may have rows under another salt.
     Holds a batch and one row: the last one, whose group may go on.
     """
-    names = ["token", "salt", "cid", "n", "pos"]
+    names = ["token", "salt", "cid", "n", "pos", "salted"]
     last: np.ndarray | None = None  # the last row so far
     first: np.ndarray | None = None  # the first row of its group
-    alone = True  # whether its group has that row only, which has not gone out yet
+    waits = False  # whether it is alone in its group and has not gone out
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names], axis=1)
+        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names], axis=1)
         joined = rows if last is None else np.concatenate([last[None], rows])
         new = np.ones(len(joined), bool)
         new[1:] = (joined[1:, :2] != joined[:-1, :2]).any(axis=1)
@@ -165,17 +166,15 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if first is not None:
             pivots[0] = first
         size = np.diff(np.append(head, len(joined)))
-        out = size[group] > 1
+        out = (size[group] > 1) | (joined[:, 5] == 1)
         if last is not None:
-            out[0] = alone and size[0] > 1
-        elif size[0] == 1:
-            out[0] = False
+            out[0] = waits and size[0] > 1
         body, pivot = joined[out], pivots[group[out]]
         yield pa.RecordBatch.from_arrays([
             pa.array(body[:, 0]), pa.array(body[:, 2]), *(pa.array(body[:, i].astype(np.int32)) for i in (3, 4)),
             pa.array(pivot[:, 2]), *(pa.array(pivot[:, i].astype(np.int32)) for i in (3, 4))],
             ["token", "cid", "n", "pos", "pivot", "pivot_n", "pivot_pos"])
-        alone = bool(size[-1] == 1) and (len(head) > 1 or last is None or alone)
+        waits = bool(size[-1] == 1 and joined[-1, 5] == 0 and (len(head) > 1 or last is None))
         last, first = joined[-1], pivots[-1]
 
 
@@ -277,16 +276,10 @@ def near_components(docs: DataFrame, k: int = SHINGLE, share: tuple[int, int] =
     roots = components(links, "jaccard")
     rooted = starred.select("token", "cid", "n", "pos").join(
         roots, F.col("cid") == F.col("node"), "left").select("token", "cid", "n", "pos", F.coalesce("root", "cid").alias("root"))
-    # Salted groups of one shingle meet here, through the shingle itself.
-    crowded = posted.where("salt > 0").select("token").distinct()
     mixed = saved(
         rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token"),
         "jaccard-mixed")
-    single = posted.join(crowded, "token", "left_semi").select("token", "cid", "n", "pos").join(
-        roots, F.col("cid") == F.col("node"), "left").select("token", "cid", "n", "pos", F.coalesce("root", "cid").alias("root"))
-    left = saved(
-        rooted.join(mixed, "token", "left_semi").union(single).dropDuplicates(["token", "cid"])
-        if int(counts.max()) >= GROUP_ROWS else rooted.join(mixed, "token", "left_semi"), "jaccard-left")
+    left = saved(rooted.join(mixed, "token", "left_semi"), "jaccard-left")
     u, v = left.alias("u"), left.alias("v")
     more = u.join(v, F.expr(f"u.token = v.token AND u.root < v.root AND {filters('u.', 'v.', share)}")).select(
         F.least("u.cid", "v.cid").alias("a"), F.greatest("u.cid", "v.cid").alias("b")).distinct()

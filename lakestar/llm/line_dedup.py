@@ -93,18 +93,19 @@ def recurring_lines(
     return known.join(recurring, ["leaf", "template"], "left_semi").select("doc_id", "text_key", "pos")
 
 
-def drop_recurring_lines(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, text_key, n_lines, n_dropped and kept_text: a row per input row."""
+def drop_recurring_lines(docs: DataFrame, carry: bool = False, **options) -> DataFrame:
+    """doc_id, text_key, n_lines, n_dropped and kept_text (and ``doc``, see ``keyed``): a row per input row."""
     gone = recurring_lines(docs, **options).groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone"))
-    docs = keyed(docs)
-    joined = docs.join(gone, same_row(docs, gone), "left").select(docs["doc_id"], docs["text_key"], "text", "gone")
+    docs = keyed(docs, carry)
+    others = ["doc"] if carry else []
+    joined = docs.join(gone, same_row(docs, gone), "left").select(docs["doc_id"], docs["text_key"], "text", "gone", *others)
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
     return joined.select(
         "doc_id", "text_key",
         F.coalesce(F.length(F.regexp_replace("text", "[^\n]", "")) + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("kept_text"), *others)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +118,7 @@ WITH split AS (
   FROM documents WHERE text IS NOT NULL),
 tok AS (
   SELECT doc_id, text, pos, line,
-    list_transform(regexp_extract_all(line, '{WORD}'), t -> CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+    list_transform(regexp_extract_all(line, '{WORD}'), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
   FROM split),
 side AS (
   SELECT doc_id, text, pos, tokens, CAST(len(tokens) AS BIGINT) AS n, array_to_string(tokens[1:{LEAD}], ' ') AS head,

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakestar.llm.shared import table
+from lakestar.llm.shared import named, table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -319,11 +320,16 @@ def batches_of(batch: pa.RecordBatch, rows: int = 2000, limit: int = 8 << 20) ->
         yield batch.slice(at, step)
 
 
+def with_field(source: DataFrame, dropped: str, name: str, kind: T.DataType) -> T.StructType:
+    """The schema with one column for another, at the end."""
+    return T.StructType([*(f for f in source.schema if f.name != dropped), T.StructField(name, kind)])
+
+
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, text: str = "text") -> DataFrame:
     """The rows with ``piece_ids`` (array of int) in place of the text."""
     make = encoder(docs.sparkSession, model_file)
     others = [c for c in docs.columns if c not in (text, "piece_ids")]
-    source = docs.select(*others, F.col(text).cast("string").alias(text))
+    source = docs.select(*map(named, others), named(text).cast("string").alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = make()
@@ -335,14 +341,14 @@ def encode(docs: DataFrame, model_file: str = MODEL_FILE, text: str = "text") ->
             column = pa.ListArray.from_arrays(bounds, flat, mask=pa.array([x is None for x in ids]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), column], [*others, "piece_ids"])
 
-    return source.mapInArrow(run, ", ".join([*(f"`{n}` {k}" for n, k in source.drop(text).dtypes), "piece_ids array<int>"]))
+    return source.mapInArrow(run, with_field(source, text, "piece_ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE, text: str = "text") -> DataFrame:
     """The rows with the text in place of ``piece_ids``."""
     make = encoder(encoded.sparkSession, model_file)
     others = [c for c in encoded.columns if c not in (text, "piece_ids")]
-    source = encoded.select(*others, "piece_ids")
+    source = encoded.select(*map(named, others), "piece_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = make()
@@ -350,7 +356,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE, text: str = "text")
             texts = [own.decode(x.values.to_numpy().astype("<i4").tobytes()) if x.is_valid else None for x in batch.column("piece_ids")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.string())], [*others, text])
 
-    return source.mapInArrow(run, ", ".join([*(f"`{n}` {k}" for n, k in source.drop("piece_ids").dtypes), f"`{text}` string"]))
+    return source.mapInArrow(run, with_field(source, "piece_ids", text, T.StringType()))
 
 
 def round_trip(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import table
+from lakestar.llm.shared import keyed, table
 from lakestar.llm.words import GAP, Words, grams, inside, mix, pieces
 
 BITS = 18
@@ -178,18 +178,21 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits:
         count.get(1, 0) / total if total else 0.5, bits, **options)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every row."""
+def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
+    """doc_id and score of every row; with ``carry`` also its text and ``doc``, see ``keyed``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two tables of 2**BITS numbers
+    texts = keyed(docs, carry).drop("text_key")
+    kept = ["doc_id", "text", "doc"] if carry else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        bits = int(np.log2(len(own.weights)))
         for batch in batches:
-            parts = [shared.value.scores(*indicators(words, int(np.log2(len(shared.value.weights))))) for _, _, words in pieces(batch.column("text"))]
+            parts = [own.scores(*indicators(words, bits)) for _, _, words in pieces(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(parts) if parts else np.zeros(0))], ["doc_id", "score"])
+                [*(batch.column(c) for c in kept), pa.array(np.concatenate(parts) if parts else np.zeros(0))], [*kept, "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, score double")
+    return texts.mapInArrow(run, texts.select(*kept).withColumn("score", F.lit(0.0)).schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.session import apply_runtime_conf, work_dir
@@ -37,11 +37,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text and text_key. A row is known by id and text: an exact repeat is the same document."""
+def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, text and text_key; with ``carry`` also ``doc``, a struct of all columns but the text.
+
+    A row is known by id and text: an exact repeat is the same document.
+    """
+    others = [F.struct(*(named(c) for c in docs.columns if c != "text")).alias("doc")] if carry else []
     return docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
-        F.xxhash64(F.col(text).cast("string")).alias("text_key"))
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"), *others)
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col(f"`{column}`")
+
+
+def as_documents(columns: list[str], text: Column) -> list[Column]:
+    """The columns of the documents again, from ``doc`` and a text."""
+    return [text.alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in columns]
 
 
 def same_row(left: DataFrame, right: DataFrame):
@@ -55,7 +69,6 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     Alternating large-star and small-star steps: every step moves edges to smaller
     neighbours and combines before its shuffle. Edges stay in tables, never in the driver.
     """
-    spark = edges.sparkSession
     edges = saved(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), f"{label}-edges")
     mark = None
     while True:
@@ -74,4 +87,4 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             break
         mark = now
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots) if spark else edges
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
