@@ -54,22 +54,27 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(plain, " ", -1), lambda w: w != "")
 
 
-def shingles_of(words: Column) -> Column:
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value as a lambda's variable, so that it is made once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def shingles_of(text: Column) -> Column:
     """Hashes of the runs of ``SHINGLE`` words, in order."""
-    parts = lambda i: [F.get(words, i + j) for j in range(SHINGLE)]
-    return F.when(F.size(words) >= SHINGLE, F.transform(F.sequence(F.lit(0), F.size(words) - SHINGLE), lambda i: F.xxhash64(*parts(i)))).otherwise(
-        F.array().cast("array<bigint>"))
+    def hashes(words: Column) -> Column:
+        run = lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(SHINGLE)))
+        return F.when(F.size(words) >= SHINGLE, F.transform(F.sequence(F.lit(0), F.size(words) - SHINGLE), run)).otherwise(
+            F.array().cast("array<bigint>"))
+
+    return once(words_of(text), hashes)
 
 
 def bands_of(shingles: Column) -> Column:
-    """One minimum per band: hashes reordered by a seed each."""
+    """One minimum per band, each under a hash of its own."""
     def least(seed: int) -> Column:
-        return F.array_min(F.transform(shingles, lambda h: h.bitwiseXOR(F.lit(seed))))
-
-    return F.array(*map(least, SEEDS))
-
+        return F.array_min(F.transform(shingles, lambda h: F.xxhash64(h, F.lit(seed))))
 
-SEEDS = [((i + 1) * 0x9E3779B97F4A7C15 ^ (i + 1) << 59) % 2**63 for i in range(BANDS)]
+    return F.array(*map(least, range(BANDS)))
 
 
 def template_table(spark: SparkSession, licenses: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -77,8 +82,8 @@ def template_table(spark: SparkSession, licenses: dict[str, tuple[str, ...]]) ->
     rows = [(name, i, text) for name, texts in sorted(licenses.items()) for i, text in enumerate(texts)]
     if len(rows) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    made = spark.createDataFrame(rows, "license string, template int, text string").withColumn("words", words_of(F.col("text")))
-    made = made.withColumn("shingles", F.array_distinct(shingles_of(F.col("words")))).withColumn("n", F.size("shingles"))
+    made = spark.createDataFrame(rows, "license string, template int, text string")
+    made = made.withColumn("shingles", F.array_distinct(shingles_of(F.col("text")))).withColumn("n", F.size("shingles"))
     return made.select("license", "template", "shingles", "n", F.pow(F.lit(2.0), F.ceil(F.log2("n"))).cast("int").alias("w"))
 
 
@@ -92,10 +97,11 @@ def scan(docs: DataFrame, licenses: dict[str, tuple[str, ...]] = LICENSES, share
     own = sorted({h for t in known for h in t["shingles"]})
     widths = sorted({t["w"] for t in known})
     banded = F.broadcast(templates.select(
-        "license", "template", "w", "n", F.col("shingles").alias("wanted"), F.posexplode(bands_of(F.col("shingles"))).alias("band", "value")))
+        "license", "template", "w", "n", F.col("shingles").alias("wanted"), F.posexplode(once(F.col("shingles"), bands_of)).alias("band", "value")))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # The explode of one element keeps the filter from making the shingles a second time.
     found = (
-        text.withColumn("words", words_of(F.col("text"))).select("doc_id", shingles_of(F.col("words")).alias("shingles"))
+        text.select("doc_id", F.explode(F.array(shingles_of(F.col("text")))).alias("shingles"))
         .where(F.exists("shingles", lambda h: h.isin(own))))
     size = F.size("shingles")
 
@@ -106,7 +112,7 @@ def scan(docs: DataFrame, licenses: dict[str, tuple[str, ...]] = LICENSES, share
     windows = (
         found.withColumn("window", F.explode(starts)).select("doc_id", "window.*", F.slice("shingles", F.col("window.at") + 1, F.col("window.w") * 2).alias("held"))
         .where(F.exists("held", lambda h: h.isin(own))))
-    met = windows.select("doc_id", "w", "at", "held", F.posexplode(bands_of(F.col("held"))).alias("band", "value")).join(banded, ["w", "band", "value"])
+    met = windows.select("doc_id", "w", "at", "held", F.posexplode(once(F.col("held"), bands_of)).alias("band", "value")).join(banded, ["w", "band", "value"])
     contained = F.size(F.array_intersect("held", "wanted")) / F.col("n")
     return (
         met.withColumn("containment", contained).where(F.col("containment") >= share)
@@ -132,11 +138,11 @@ tw AS (SELECT *, len(wanted) AS n, CAST(pow(2, ceil(log2(len(wanted)))) AS BIGIN
 d AS (
   SELECT doc_id, list_transform(generate_series(1, len(w) - {SHINGLE - 1}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')) AS held
   FROM (SELECT doc_id, {SQL_WORDS.replace("TEXT", "text")} AS w FROM documents WHERE text IS NOT NULL) WHERE len(w) >= {SHINGLE}),
-some AS (SELECT d.* FROM d WHERE list_has_any(held, (SELECT list_distinct(flatten(list(wanted))) FROM t))),
+likely AS (SELECT d.* FROM d WHERE list_has_any(held, (SELECT list_distinct(flatten(list(wanted))) FROM t))),
 win AS (
   SELECT doc_id, license, n, place AS first_word,
     len(list_intersect(held[place + 1:place + 2 * width], wanted)) / n AS containment
-  FROM some, tw, unnest(generate_series(0, len(held) - 1, width)) AS s(place))
+  FROM likely, tw, unnest(generate_series(0, len(held) - 1, width)) AS s(place))
 SELECT doc_id, license, max(containment) AS containment, CAST(min(first_word) AS BIGINT) AS first_word
 FROM win WHERE containment >= {SHARE} GROUP BY doc_id, license
 """

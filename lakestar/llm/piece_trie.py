@@ -29,7 +29,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -320,43 +320,49 @@ def batches_of(batch: pa.RecordBatch, rows: int = 2000, limit: int = 8 << 20) ->
         yield batch.slice(at, step)
 
 
-def with_field(source: DataFrame, dropped: str, name: str, kind: T.DataType) -> T.StructType:
-    """The schema with one column for another, at the end."""
-    return T.StructType([*(f for f in source.schema if f.name != dropped), T.StructField(name, kind)])
+def with_field(source: DataFrame, values: Column, name: str, kind: T.DataType, dropped: str, change) -> DataFrame:
+    """The rows with a column that ``change`` makes of each batch of ``values``, in place of the ``dropped`` one.
+
+    Inside the task columns go by number, so their names may be anything.
+    """
+    others = [c for c in source.columns if c not in (name, dropped)]
+    numbered = source.select(*(named(c).alias(f"c{i}") for i, c in enumerate(others)), values.alias("v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for column, batch in change(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(others))), column], [*(f"c{i}" for i in range(len(others))), "v"])
+
+    schema = T.StructType([*(f for f in numbered.schema if f.name != "v"), T.StructField("v", kind)])
+    return numbered.mapInArrow(run, schema).toDF(*others, name)
 
 
 def encode(docs: DataFrame, model_file: str = MODEL_FILE, text: str = "text") -> DataFrame:
     """The rows with ``piece_ids`` (array of int) in place of the text."""
     make = encoder(docs.sparkSession, model_file)
-    others = [c for c in docs.columns if c not in (text, "piece_ids")]
-    source = docs.select(*map(named, others), named(text).cast("string").alias(text))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
         own = make()
         for batch in (part for whole in batches for part in batches_of(whole)):
-            ids = own.encode(batch.column(text).to_pylist())
+            ids = own.encode(batch.column("v").to_pylist())
             counts = np.array([len(x) // 4 if x is not None else 0 for x in ids], np.int64)
             flat = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<i4"), pa.int32())
             bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-            column = pa.ListArray.from_arrays(bounds, flat, mask=pa.array([x is None for x in ids]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), column], [*others, "piece_ids"])
+            yield pa.ListArray.from_arrays(bounds, flat, mask=pa.array([x is None for x in ids])), batch
 
-    return source.mapInArrow(run, with_field(source, text, "piece_ids", T.ArrayType(T.IntegerType())))
+    return with_field(docs, named(text).cast("string"), "piece_ids", T.ArrayType(T.IntegerType()), text, change)
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE, text: str = "text") -> DataFrame:
     """The rows with the text in place of ``piece_ids``."""
     make = encoder(encoded.sparkSession, model_file)
-    others = [c for c in encoded.columns if c not in (text, "piece_ids")]
-    source = encoded.select(*map(named, others), "piece_ids")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.RecordBatch]]:
         own = make()
         for batch in batches:
-            texts = [own.decode(x.values.to_numpy().astype("<i4").tobytes()) if x.is_valid else None for x in batch.column("piece_ids")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.string())], [*others, text])
+            texts = [own.decode(x.values.to_numpy().astype("<i4").tobytes()) if x.is_valid else None for x in batch.column("v")]
+            yield pa.array(texts, pa.string()), batch
 
-    return source.mapInArrow(run, with_field(source, "piece_ids", text, T.StringType()))
+    return with_field(encoded, F.col("piece_ids"), text, T.StringType(), "piece_ids", change)
 
 
 def round_trip(docs: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:

