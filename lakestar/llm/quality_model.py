@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import keyed, table
+from lakestar.llm.shared import hash_sample, keyed, table
 from lakestar.llm.words import GAP, Words, grams, inside, mix, pieces
 
 BITS = 18
@@ -168,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, bits:
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).groupBy("doc_id").agg(F.max("label").alias("label"))
     count = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    picked = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
+    picked = [hash_sample(known.where(F.col("label") == k), ["doc_id"], per_class, count.get(k, 0)) for k in (0, 1)]
     wanted = F.broadcast(picked[0].union(picked[1]))  # at most two times per_class rows
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id")
     rows = sorted({tuple(r) for r in found.mapInArrow(buckets_of(bits), "doc_id long, label int, buckets binary").toLocalIterator()})

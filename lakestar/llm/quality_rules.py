@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import WORD, table
+from lakestar.llm.shared import WORD, hash_sample, table
 from lakestar.llm.words import GAP, Words, grams, inside, mix, pieces
 
 SAMPLE = 1000
@@ -133,7 +133,7 @@ def measure(rules: tuple[Rule, ...]):
 
 def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> list[Rule]:
     """The rules by rejections per second on the ``sample`` texts whose ids have the smallest hash."""
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = hash_sample(docs.select("doc_id", "text"), ["doc_id"], sample, docs.count())
     found = chosen.select("text").mapInArrow(measure(rules), "rule string, seconds double, rejected long").groupBy("rule").agg(
         F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected")).collect()  # a row per rule
     gain = {r["rule"]: r["rejected"] / max(r["seconds"], 1e-9) for r in found}

@@ -37,6 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_sample(rows: DataFrame, columns: list[str], n: int, total: int) -> DataFrame:
+    """At most ``n`` of ``total`` rows, those with the smallest hash of the columns.
+
+    Rows beyond about the ``2n`` smallest hashes are left out in the scan, so what meets in one task is bounded.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(2**31))
+    near = rows.where(place < int(2**31 * min(1.0, 2 * n / max(total, 1))))
+    return near.orderBy(place, *columns).limit(n)
+
+
 def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id, text and text_key; with ``carry`` also ``doc``, a struct of all columns but the text.
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import saved, table
+from lakestar.llm.shared import hash_sample, saved, table
 
 K = 5
 EVERY = 50
@@ -197,7 +197,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, sample: int = SAMP
     """query_id, rank, vec_id, score for the rows whose id is divisible by ``every``."""
     spark = vectors.sparkSession
     rows = clean(vectors)
-    drawn = [np.array(r["x"]) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("x").collect()]  # a bounded sample
+    drawn = [np.array(r["x"]) for r in hash_sample(rows, ["vec_id", "x"], sample, vectors.count()).select("x").collect()]  # a bounded sample
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not drawn:
         return empty

@@ -1,3 +1,5 @@
+"""Documents for the tests, beside columns with clashing names."""
+
 import pytest
 from pyspark.sql import types as T
 

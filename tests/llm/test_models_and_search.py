@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brute import top_k as brute_top_k
+from frames import frame  # noqa: F401
 from lakestar.llm import topk_search
 from lakestar.llm.piece_trie import BPE, MODEL_FILE, UNIGRAM, Encoder, PieceModel, decode, encode, proto_fields, round_trip
 from lakestar.llm.quality_model import classify, is_held_out, score, train

@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 import oracle
 from brute import dropped_lines, jaccard_rows, words
+from frames import frame  # noqa: F401
 from lakestar.llm.piece_trie import MODEL_FILE, Encoder, PieceModel
 from lakestar.llm.quality_model import THRESHOLD, score, train
 from lakestar.llm.queries import ORACLES, QUERIES

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from brute import base_figures, dropped_lines, jaccard_rows, kept_by_rules, mix_targets, removed_words, words
+from frames import frame  # noqa: F401
 from lakestar.llm.curriculum import copies, due_at, mix
 from lakestar.llm.jaccard_join import near_components
 from lakestar.llm.license_scan import scan
