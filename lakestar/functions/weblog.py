@@ -45,11 +45,15 @@ def parse_lines(logs: DataFrame, column: str = "value") -> DataFrame:
 
 def parse_map(line: Column) -> Column:
     """The same fields as one map column; NULL for a line that does not match."""
-    parts = line_fields(line)
-    size = F.when(parts[8] == "-", F.lit("0")).otherwise(parts[8])
-    values = F.concat(F.slice(parts, 1, 8), F.array(size))
     names = F.array(*[F.lit(f) for f in FIELDS])
-    return F.when(F.size(parts) == len(FIELDS), F.map_from_arrays(names, values))
+
+    def as_map(parts: Column) -> Column:
+        size = F.when(parts[8] == "-", F.lit("0")).otherwise(parts[8])
+        values = F.concat(F.slice(parts, 1, 8), F.array(size))
+        return F.when(F.size(parts) == len(FIELDS), F.map_from_arrays(names, values))
+
+    # As the element of an array the fields are made once and used by name.
+    return F.transform(F.array(line_fields(line)), as_map)[0]
 
 
 def typed(parsed: DataFrame) -> DataFrame:

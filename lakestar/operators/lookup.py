@@ -1,8 +1,8 @@
 """Natural-key joins between an event log and an entity catalogue.
 
-A hot natural key is sliced (``salted_join``). None of these joins forces a
-broadcast of the catalogue: Spark does that by itself while its size is under the
-configured threshold, and sorts and merges beyond it.
+These are plain equi-joins (``skewed_join``): Spark broadcasts a catalogue below its
+threshold, whether or not a key of the log is hot, and beyond it sorts, merges and
+splits hot partitions. ``salt`` slices hot keys where that split does not reach.
 """
 
 from __future__ import annotations
@@ -10,17 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.operators.skew import salted_join
+from lakestar.operators.skew import skewed_join
 
 
 def natural_key_join(
     log: DataFrame, catalogue: DataFrame, on: dict[str, str], ids: list[str], how: str = "left",
-    ambiguous: str = "all", hot_rows: int | None = None,
+    ambiguous: str = "all", salt: bool = False, hot_rows: int | None = None,
 ) -> DataFrame:
     """Join on several natural keys (``{log column: catalogue column}``) and add the ids.
 
     ``ambiguous="all"`` multiplies an event by its matches; ``"first"`` takes the
-    smallest id tuple per natural key, so no event is ever multiplied.
+    smallest id tuple per natural key, so no event is ever multiplied. That side is
+    aggregated on the join key: see ``skewed_join`` for ``salt``.
     """
     side = catalogue.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()], *ids)
     if ambiguous == "first":
@@ -28,12 +29,10 @@ def natural_key_join(
         side = packed.select(*on, "__ids.*")
     elif ambiguous != "all":
         raise ValueError(f"unknown ambiguity rule: {ambiguous}")
-    return salted_join(log, side, list(on), how, hot_rows)
+    return skewed_join(log, side, list(on), how, salt, hot_rows)
 
 
-def chained_name_join(
-    log: DataFrame, songs: DataFrame, artists: DataFrame, hot_rows: int | None = None
-) -> DataFrame:
+def chained_name_join(log: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
     """Match plays by song title and artist name, tied together by the artist id.
 
     Songs and artists meet first, on the id: joining the log by title alone would
@@ -42,7 +41,7 @@ def chained_name_join(
     named = songs.select("song_id", "artist_id", F.col("title").alias("song")).join(
         artists.select("artist_id", F.col("name").alias("artist")), "artist_id"
     )
-    return salted_join(log, named, ["song", "artist"], "inner", hot_rows)
+    return skewed_join(log, named, ["song", "artist"], "inner")
 
 
 def never_seen(all_values: DataFrame, seen: DataFrame) -> DataFrame:

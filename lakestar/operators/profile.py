@@ -17,8 +17,14 @@ def _unpivot(aggregates: DataFrame, names: list[str], label: str, value: str) ->
 
 
 def missing_percent(df: DataFrame, digits: int = 0) -> DataFrame:
-    """Rows ``(column, pct_missing)``: all columns in one pass over the data."""
-    share = [F.round(F.avg(F.col(c).isNull().cast("double")) * 100, digits).alias(c) for c in df.columns]
+    """Rows ``(column, pct_missing)``: all columns in one pass over the data; NaN is missing too."""
+    kinds = dict(df.dtypes)
+
+    def absent(c: str) -> Column:
+        column = F.col(f"`{c}`")
+        return column.isNull() | F.isnan(column) if kinds[c] in ("float", "double") else column.isNull()
+
+    share = [F.round(F.avg(absent(c).cast("double")) * 100, digits).alias(c) for c in df.columns]
     return _unpivot(df.agg(*share), df.columns, "column", "pct_missing")
 
 
@@ -29,10 +35,10 @@ def duplicate_count(df: DataFrame, key: list[str], name: str = "duplicates") ->
 
 
 def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows ``(column, count, mean, stddev, min, max)`` from one pass."""
+    """Rows ``(column, count, mean, stddev, min, max)`` from one pass; text counts as far as it is numbers."""
 
     def stats(c: str) -> Column:
-        x = F.col(c).cast("double")
+        x = F.col(c).try_cast("double")
         return F.struct(
             F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev(x).alias("stddev"),
             F.min(x).alias("min"), F.max(x).alias("max"),
@@ -41,6 +47,24 @@ def describe_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return _unpivot(df.agg(*[stats(c) for c in columns]), columns, "column", "s").select("column", "s.*")
 
 
+def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows ``(column, count, mean, stddev, min, max)`` for numbers and text, from one pass.
+
+    Count and extremes are those of the column itself, extremes written as text; mean and
+    deviation are NULL unless the values are numbers.
+    """
+
+    def stats(c: str) -> Column:
+        own, x = F.col(f"`{c}`"), F.col(f"`{c}`").try_cast("double")
+        return F.struct(
+            F.count(own).alias("count"), F.avg(x).alias("mean"), F.stddev(x).alias("stddev"),
+            F.min(own).cast("string").alias("min"), F.max(own).cast("string").alias("max"),
+        ).alias(c)
+
+    names = columns or [n for n, kind in df.dtypes if kind == "string" or isinstance(df.schema[n].dataType, T.NumericType)]
+    return _unpivot(df.agg(*[stats(n) for n in names]), names, "column", "s").select("column", "s.*")
+
+
 def profile(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Completeness and duplicates of several tables: ``(table, column, metric, value)``.
 

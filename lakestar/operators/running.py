@@ -2,8 +2,12 @@
 
 A plain window puts all rows of a key into one task. Here the rows of a hot key
 are cut into consecutive slices of the order column; a slice gets the total of
-the slices before it as a start value and is summed on its own. The log itself is
-shuffled once, as for the plain window.
+the rows before it as a start value and is summed on its own.
+
+One aggregate per key and bucket of the order column, combined before its
+shuffle, gives row counts and totals. Slices are runs of buckets with about equal
+row counts, so a far outlier gets a slice of its own and moves no other border.
+The log is scanned twice: for that aggregate and for the sums.
 """
 
 from __future__ import annotations
@@ -12,19 +16,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.operators.skew import hot_limit, look_up
+from lakestar.operators.skew import hot_limit
+
+HOUR_MILLIS = 3_600_000
+LOWEST = -(2**63)
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
+def _position(df: DataFrame, order: str) -> tuple[Column, int]:
+    """The order column as a number that sorts the same way, and the width of a bucket of it.
 
-def _position(df: DataFrame, order: str) -> Column:
-    """The order column as a number that sorts the same way."""
+    A bucket is an hour of a timestamp, a day of a date, and 3,600,000 of a plain
+    number (an hour in milliseconds).
+    """
     kind = df.schema[order].dataType
     if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(order).cast("timestamp"))
+        return F.unix_micros(F.col(order).cast("timestamp")), HOUR_MILLIS * 1000
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(F.col(order))
+        return F.unix_micros(F.col(order)), HOUR_MILLIS * 1000
     if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(order))
-    return F.col(order)
+        return F.unix_date(F.col(order)), 1
+    return F.col(order), HOUR_MILLIS
 
 
 def running_sum(
@@ -37,37 +49,36 @@ def running_sum(
     frame: str = "range",
     tiebreak: list[str] | None = None,
     hot_rows: int | None = None,
+    bucket: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` from the first row of the key to this row.
 
     ``frame="range"`` gives rows with equal ``order`` the same value;
     ``frame="rows"`` counts row by row and needs ``tiebreak`` columns that make
-    the order total. ``value`` must be integral and not NULL.
+    the order total. ``value`` must be of a whole-number type: sums of fractions would
+    depend on the slices. NULL values count as in Spark's own window: they are
+    left out, and the sum is NULL until the first value. ``bucket`` is the width of a
+    bucket of the order column; rows of one bucket stay in one slice.
     """
     if frame == "rows" and not tiebreak:
         raise ValueError("a rows frame needs tiebreak columns, or the result depends on row order")
+    position, width = _position(df, order)
+    rows = df.withColumns({"__pos": position, "__value": value})
+    kind = rows.schema["__value"].dataType
+    if not (isinstance(kind, WHOLE) or isinstance(kind, T.DecimalType) and kind.scale == 0):
+        raise TypeError(f"a running sum needs whole numbers, not {kind.simpleString()}")
     direction = F.desc if descending else F.asc
-    rows = df.withColumns({"__pos": _position(df, order), "__value": value})
-
-    limit = hot_limit(df.agg(F.count(F.lit(1))), hot_rows)
-    spans = (
-        rows.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))
-        .filter(F.col("__n") > limit)
-        # Slices are of equal width, not equal depth; eight times more of them absorbs uneven spread.
-        .select(*key, "__lo", "__hi", (F.ceil(F.col("__n") / limit) * 8).alias("__slices"))
-    )
-    number = F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(_slice_number())
-    sliced = look_up(rows, key, spans).withColumn("__slice", number)
-    before = Window.partitionBy(*key).orderBy(direction("__slice")).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice of a hot key, so this table is bounded as the hot keys are.
-    starts = (
-        sliced.filter(F.col("__slices").isNotNull())
-        .groupBy(*key, "__slice")
-        .agg(F.sum("__value").alias("__total"))
-        .select(*key, "__slice", F.sum("__total").over(before).alias("__start"))
-    )
-    placed = look_up(sliced.drop("__lo", "__hi", "__slices"), [*key, "__slice"], starts)
+    if isinstance(rows.schema["__pos"].dataType, T.NumericType):
+        # NULL positions sort below all others, in either direction.
+        number = F.coalesce(F.floor(F.col("__pos") / F.lit(bucket or width)).cast("bigint"), F.lit(LOWEST))
+    else:
+        number = F.lit(0).cast("bigint")
+    rows = rows.withColumn("__bucket", number)
+
+    slices = _slices(rows, key, direction, hot_rows).withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(key)})
+    mine = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)]
+    # At most two slices for each piece of the log that ``hot_limit`` allows, so this table is bounded.
+    placed = rows.join(F.broadcast(slices), [*mine, F.col("__bucket").between(F.col("__low"), F.col("__high"))], "left")
 
     within = Window.partitionBy(*key, "__slice")
     if frame == "rows":
@@ -75,17 +86,24 @@ def running_sum(
         within = within.orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
     else:
         within = within.orderBy(direction("__pos")).rangeBetween(Window.unboundedPreceding, 0)
-    total = F.sum("__value").over(within) + F.coalesce(F.col("__start"), F.lit(0))
+    own = F.sum("__value").over(within)
+    total = F.when(F.col("__start").isNull(), own).otherwise(F.coalesce(own, F.lit(0)) + F.col("__start"))
     return placed.withColumn(name, total).select(*df.columns, name)
 
 
-def _slice_number() -> Column:
-    """Which slice of its key's span a row lies in, counted along the order column."""
-    width = (F.col("__hi") - F.col("__lo")).cast("double")
-    share = (F.col("__pos") - F.col("__lo")).cast("double") / width
-    within = F.when(width > 0, F.floor(share * (F.col("__slices") - 1))).otherwise(F.lit(0))
-    # NULL positions get the lowest slice, which is where Spark's own ordering puts them.
-    return F.when(F.col("__pos").isNull(), F.lit(-1)).otherwise(within).cast("int")
+def _slices(rows: DataFrame, key: list[str], direction, hot_rows: int | None) -> DataFrame:
+    """Slices of the hot keys: first and last bucket, and the total of what comes before."""
+    sums = rows.groupBy(*key, "__bucket").agg(F.count(F.lit(1)).alias("__n"), F.sum("__value").alias("__total"))
+    limit = hot_limit(sums.agg(F.sum("__n")), hot_rows)
+    before = Window.partitionBy(*key).orderBy(direction("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    runs = (
+        sums.withColumn("__all", F.sum("__n").over(Window.partitionBy(*key)))
+        .withColumns({"__ahead": F.coalesce(F.sum("__n").over(before), F.lit(0)), "__start": F.sum("__total").over(before)})
+        .filter(F.col("__all") > limit)
+        .withColumn("__slice", F.floor(F.col("__ahead") / limit))
+    )
+    return runs.groupBy(*key, "__slice").agg(
+        F.min("__bucket").alias("__low"), F.max("__bucket").alias("__high"), F.min_by("__start", "__ahead").alias("__start"))
 
 
 def label_by_anchor(

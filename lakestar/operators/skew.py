@@ -4,7 +4,8 @@ A key is hot when it holds more rows than a limit. By default the limit is the
 total number of rows divided by a few times the shuffle partitions, so a hot key
 is one that would overload its partition, and there are at most ``pieces`` of
 them whatever the data volume. The table of hot keys therefore has a proven size
-bound; it is the only thing these operators broadcast.
+bound; it is the only thing these operators broadcast. A limit given by a caller
+moves the border between hot and not, and broadcasting is then left to Spark.
 """
 
 from __future__ import annotations
@@ -50,11 +51,12 @@ def _hot_keys(df: DataFrame, key: list[str], cells: str, hot_rows: int | None) -
     return counts.filter(F.col("__n") > limit).select(*key, F.ceil(F.col("__n") / limit).alias(cells))
 
 
-def look_up(df: DataFrame, key: list[str], hot: DataFrame) -> DataFrame:
-    """Left join to a broadcast table of hot keys; NULL meets NULL, as in grouping."""
+def look_up(df: DataFrame, key: list[str], hot: DataFrame, bounded: bool = True) -> DataFrame:
+    """Left join to a table of hot keys, broadcast if its size is bounded; NULL meets NULL, as in grouping."""
     names = {k: f"__k{i}" for i, k in enumerate(key)}
     same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    return df.join(F.broadcast(hot.withColumnsRenamed(names)), same, "left").drop(*names.values())
+    side = hot.withColumnsRenamed(names)
+    return df.join(F.broadcast(side) if bounded else side, same, "left").drop(*names.values())
 
 
 def _own_slice(df: DataFrame, cells: str) -> Column:
@@ -66,21 +68,28 @@ def _each_slice(cells: str) -> Column:
     return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(cells), F.lit(1)).cast("int") - 1))
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", hot_rows: int | None = None
+def skewed_join(
+    left: DataFrame, right: DataFrame, key: list[str], how: str = "left", salt: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     """Equi-join of a log, in which a key may be hot, to a table with few rows per key.
 
-    Log rows of a hot key fall into slices, and the other side's rows for that key
-    are repeated once per slice. Unlike the skew split of adaptive execution this
-    also works when the right side was just aggregated on the key, as a
-    deduplicated dimension is. ``right`` must share only the key with ``left``.
+    By default the plain join: Spark broadcasts a right side below its threshold, and
+    adaptive execution splits the hot partitions of a sort-merge join. That split
+    does not reach a right side that was just aggregated on the key and is too big
+    to broadcast; ``salt`` serves that case at the price of counting the log's keys:
+    log rows of a hot key fall into slices, and the other side's rows for that key
+    are repeated once per slice. The rows are the same either way. ``right`` must
+    share only the key with ``left``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
+    right = right.dropna("any", subset=key)  # a NULL key meets nothing
+    if not salt:
+        return left.join(right, key, how)
     hot = _hot_keys(left, key, "__cells", hot_rows)
-    lrows = look_up(left, key, hot).withColumn("__slice", _own_slice(left, "__cells")).drop("__cells")
-    rrows = look_up(right, key, hot).withColumn("__slice", _each_slice("__cells")).drop("__cells")
+    bounded = hot_rows is None
+    lrows = look_up(left, key, hot, bounded).withColumn("__slice", _own_slice(left, "__cells")).drop("__cells")
+    rrows = look_up(right, key, hot, bounded).withColumn("__slice", _each_slice("__cells")).drop("__cells")
     return lrows.join(rrows, [*key, "__slice"], how).drop("__slice")
 
 
@@ -114,10 +123,11 @@ def fanout_join(
         raise ValueError(f"unsupported join type: {how}")
     grid = grid if grid is not None else hot_grid(left, right, key, hot_rows)
     right = right.dropna("any", subset=key)
-    lrows = look_up(left, key, grid).withColumns(
+    bounded = hot_rows is None
+    lrows = look_up(left, key, grid, bounded).withColumns(
         {"__lslice": _own_slice(left, "__lcells"), "__rslice": _each_slice("__rcells")}
     )
-    rrows = look_up(right, key, grid).withColumns(
+    rrows = look_up(right, key, grid, bounded).withColumns(
         {"__rslice": _own_slice(right, "__rcells"), "__lslice": _each_slice("__lcells"), "__hit": F.lit(True)}
     )
     slices = ["__lslice", "__rslice"]

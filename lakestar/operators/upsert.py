@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIRST, LAST = "first_seen", "last_seen"
@@ -34,7 +34,7 @@ def to_state(
 def _packed(
     df: DataFrame, key: list[str], order: list[str], first: list[str], last: list[str], arrival: int
 ) -> DataFrame:
-    """Each row as a state of its own."""
+    """Each row as a state of its own; rows with a NULL key part are left out."""
     lead = [F.lit(arrival).alias("arrival"), *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)]]
     packs = {FIRST: first, LAST: last}
     return df.dropna("any", subset=key).select(
@@ -66,7 +66,8 @@ def upsert(
     ``update=None`` overwrites every column (last write wins); an empty list is
     insert-or-ignore. ``order`` are columns of ``incoming`` that date its rows;
     ``target`` needs none of them, all its rows count as older. An incoming NULL
-    in an updated column overwrites.
+    in an updated column overwrites. Incoming rows with a NULL key part cannot be matched and are
+    left out (``rejected`` returns them); stored rows with one stay as they are.
     """
     columns = target.columns
     values = [c for c in columns if c not in key]
@@ -75,7 +76,18 @@ def upsert(
     undated = target.withColumns({c: F.lit(None).cast(incoming.schema[c].dataType) for c in order if c not in columns})
     old = _packed(undated, key, order, first, last, arrival=0)
     new = _packed(incoming, key, order, first, last, arrival=1)
-    return from_state(merge_states([old, new], key), key, columns)
+    stored = target.filter(~keyed(key))
+    return from_state(merge_states([old, new], key), key, columns).unionByName(stored)
+
+
+def keyed(key: list[str]) -> Column:
+    """Whether a row has all parts of its key."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+
+
+def rejected(incoming: DataFrame, key: list[str]) -> DataFrame:
+    """Incoming rows that an upsert cannot key."""
+    return incoming.filter(~keyed(key))
 
 
 def rows_to_insert(target: DataFrame, incoming: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from lakestar import contracts as c
 from lakestar.contracts import conform
 from lakestar.functions.cleaning import blank_to_zero, fill_text, money, yes_no
 from lakestar.operators.columns import drop_duplicate_columns, merge_with_suffixes, strip_suffix
-from lakestar.operators.skew import fanout_join, hot_grid, salted_join
+from lakestar.operators.skew import fanout_join, hot_grid, skewed_join
 
 # Columns in which a blank stands for zero.
 ZERO_IF_BLANK = (
@@ -17,15 +17,22 @@ ZERO_IF_BLANK = (
     "review_scores_checkin", "reviews_per_month", "review_scores_communication", "review_scores_location",
     "review_scores_value",
 )
-# Columns the detailed file repeats from the summary, and one that is always empty.
+# Columns the detailed file repeats from the summary, and one that is always empty.
 REPEATED = ("maximum_nights", "minimum_nights", "price")
 ALWAYS_EMPTY = ("bathrooms",)
 
 
 def merge_listings(detailed: DataFrame, summary: DataFrame) -> DataFrame:
-    """Detailed rows widened by the summary file; columns with equal contents kept once."""
+    """Detailed rows widened by the summary file; what the two files both hold is kept once.
+
+    Only columns of one file are compared with columns of the other. Columns of the contract stay
+    even if they equal another one.
+    """
     merged = merge_with_suffixes(detailed.drop(*REPEATED), summary, "id")
-    return strip_suffix(drop_duplicate_columns(merged), "_x")
+    theirs = [n for n in merged.columns if n.endswith("_y") or (n in summary.columns and n != "id")]
+    ours = [n for n in merged.columns if n not in theirs and n != "id"]
+    wanted = [n for n in theirs if n in c.LISTING.columns]
+    return strip_suffix(drop_duplicate_columns(merged, [(a, b) for b in theirs for a in ours], wanted), "_x")
 
 
 def clean_listings(merged: DataFrame) -> DataFrame:
@@ -69,12 +76,12 @@ def bookings(calendars: DataFrame, listings: DataFrame, all_reviews: DataFrame,
     """Calendar days with their listing and, for each day, every review of the listing.
 
     Only the columns of the result enter the joins. The listing join is many to
-    one and slices hot listings of the calendar; the review join is many to many and
-    slices both sides.
+    one; the review join is many to many and slices both sides, by one count of the
+    keys of each.
     """
     listing_columns = [n for n in c.BOOKINGS.columns if n in c.LISTING.columns and n != "id"]
     homes = listings.select(F.col("id").alias("listing_id"), "id", *listing_columns)
-    days = salted_join(calendars.select("listing_id", "adjusted_price"), homes, ["listing_id"], "left", hot_rows)
+    days = skewed_join(calendars.select("listing_id", "adjusted_price"), homes, ["listing_id"], "left")
     reviewed = all_reviews.select("listing_id", "review_id", "review_date", "reviewer_id")
     grid = hot_grid(calendars, all_reviews, ["listing_id"], hot_rows)
     joined = fanout_join(days, reviewed, ["listing_id"], "left", grid=grid)

@@ -13,7 +13,7 @@ from lakestar import contracts as c
 from lakestar.functions.keys import hash_key
 from lakestar.functions.timeparts import calendar_fields, from_epoch_millis, from_epoch_millis_whole_seconds
 from lakestar.operators.lookup import natural_key_join
-from lakestar.operators.skew import salted_join
+from lakestar.operators.skew import skewed_join
 from lakestar.operators.upsert import first_write_wins, last_write_wins, to_state
 
 # Fixed value: the page that stands for a played song.
@@ -29,33 +29,50 @@ def plays(events: DataFrame) -> DataFrame:
     return events.filter(F.col("page") == PLAY_PAGE)
 
 
+def gaps(columns: list[str]) -> Column:
+    """How many of the columns are NULL."""
+    return sum((F.col(n).isNull().cast("int") for n in columns), F.lit(0))
+
+
+def most_complete(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key: the one with the fewest NULLs, among those the smallest, so that re-runs agree."""
+    return first_write_wins(rows.withColumn("__gaps", gaps(rows.columns)), [key], ["__gaps"]).drop("__gaps")
+
+
 def songs(staging_songs: DataFrame) -> DataFrame:
-    """One row per song id; of conflicting rows the smallest, so that re-runs agree."""
-    columns = staging_songs.select("song_id", "title", "artist_id", "year", "duration")
-    return first_write_wins(columns, ["song_id"], [])
+    """One row per song id; of conflicting rows the most complete."""
+    return most_complete(staging_songs.select("song_id", "title", "artist_id", "year", "duration"), "song_id")
 
 
-def artists(staging_songs: DataFrame) -> DataFrame:
-    """One row per artist id."""
-    columns = staging_songs.select(
+def artist_rows(staging_songs: DataFrame) -> DataFrame:
+    """The artist of each song."""
+    return staging_songs.select(
         "artist_id",
         F.col("artist_name").alias("name"),
         F.col("artist_location").alias("location"),
         F.col("artist_latitude").alias("latitude"),
         F.col("artist_longitude").alias("longitude"),
     )
-    return first_write_wins(columns, ["artist_id"], [])
+
+
+def artists(staging_songs: DataFrame) -> DataFrame:
+    """One row per artist id; of conflicting rows the most complete."""
+    return most_complete(artist_rows(staging_songs), "artist_id")
+
+
+def known_plays(events: DataFrame) -> DataFrame:
+    """Plays of a user with an id; a blank id is none."""
+    return plays(events).filter(F.trim(F.col("user_id").cast("string")) != "")
 
 
 def users_distinct(events: DataFrame) -> DataFrame:
     """Every combination of user attributes seen among plays."""
-    return plays(events).select(*c.USERS.columns).filter(F.col("user_id").isNotNull()).distinct()
+    return known_plays(events).select(*c.USERS.columns).distinct()
 
 
 def user_state(events: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Mergeable state of the users table: first seen names, last seen level."""
-    known = plays(events).filter(F.col("user_id").isNotNull())
-    return to_state(known, ["user_id"], order or ["ts"], USER_FIRST, USER_LAST)
+    return to_state(known_plays(events), ["user_id"], order or ["ts"], USER_FIRST, USER_LAST)
 
 
 def time_dimension(events: DataFrame, resolution: str = "millis", convention: str = "sunday1") -> DataFrame:
@@ -74,37 +91,45 @@ def start_time(resolution: str = "millis") -> Column:
 
 def songplays(
     events: DataFrame, staging_songs: DataFrame, how: str = "left", ambiguous: str = "all",
-    resolution: str = "millis", distinct: bool = False, hot_rows: int | None = None,
+    resolution: str = "millis", distinct: bool = False, salt: bool = False, hot_rows: int | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The fact table: plays with the ids of the song and artist they match.
 
     ``how`` keeps (``left``) or drops (``inner``) plays without a match;
     ``ambiguous="first"`` gives each play at most one match; ``distinct`` collapses
-    plays that differ in none of the output columns.
+    plays that differ in none of the output columns; ``keep`` names event columns to carry along.
     """
     log = plays(events).select(
         start_time(resolution).alias("start_time"), "user_id", "level", "session_id", "item_in_session",
-        "location", "user_agent", *NATURAL_KEY,
+        "location", "user_agent", *NATURAL_KEY, *keep,
     )
     ids = ["song_id", "artist_id"]
-    joined = natural_key_join(log, staging_songs, NATURAL_KEY, ids, how, ambiguous, hot_rows)
-    columns = ["start_time", "user_id", "level", *ids, "session_id", "location", "user_agent"]
+    joined = natural_key_join(log, staging_songs, NATURAL_KEY, ids, how, ambiguous, salt, hot_rows)
+    columns = ["start_time", "user_id", "level", *ids, "session_id", "location", "user_agent", *keep]
     if distinct:
         facts = joined.select(*columns).distinct()
         key = hash_key("session_id", F.unix_micros("start_time"), "user_id", "level", "song_id", "artist_id",
                        "location", "user_agent")
     else:
         facts = joined.select(*columns, "item_in_session")
-        key = hash_key("session_id", F.unix_micros("start_time"), "item_in_session", "song_id")
+        key = hash_key("session_id", F.unix_micros("start_time"), "item_in_session", "song_id", "user_id")
     return facts.select(
         key.alias("songplay_id"), *columns,
         F.year("start_time").alias("year"), F.month("start_time").alias("month"),
     )
 
 
-def with_time(facts: DataFrame, time: DataFrame) -> DataFrame:
-    """Fact rows with their calendar fields; ``time`` is unique per start time, so no row multiplies."""
-    return salted_join(facts.drop("year", "month"), time, ["start_time"], "left")
+def with_time(facts: DataFrame, time: DataFrame | None = None) -> DataFrame:
+    """Fact rows with their calendar fields.
+
+    The fields are functions of the start time, so without a stored ``time`` table they are
+    derived in place. ``time`` is unique per start time, so no row multiplies.
+    """
+    narrow = facts.drop("year", "month")
+    if time is None:
+        return narrow.withColumns(calendar_fields(F.col("start_time")))
+    return skewed_join(narrow, time, ["start_time"], "left")
 
 
 # --- one table per question -------------------------------------------------
@@ -158,5 +183,5 @@ def songs_of_session(user_sessions: DataFrame, user_id: int, session_id: int) ->
 
 def listeners(user_songs: DataFrame, song: str, prefix: bool = False) -> DataFrame:
     """Distinct users who heard a song, or any song whose title starts so, in any case."""
-    match = F.col("song").ilike(f"{song}%") if prefix else F.col("song") == song
+    match = F.startswith(F.lower("song"), F.lower(F.lit(song))) if prefix else F.col("song") == song
     return user_songs.filter(match).select("user_id", "first_name", "last_name").distinct()

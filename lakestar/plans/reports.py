@@ -10,7 +10,7 @@ from lakestar.functions.timeparts import from_epoch_millis, in_year
 from lakestar.functions.weblog import parse_lines, typed
 from lakestar.operators.lookup import never_seen, rows_at_maximum, top_k
 from lakestar.operators.running import label_by_anchor
-from lakestar.operators.skew import fanout_join, hot_grid, salted_join
+from lakestar.operators.skew import fanout_join, hot_grid, skewed_join
 
 PLAY_PAGE, DOWNGRADE_PAGE = "NextSong", "Submit Downgrade"
 
@@ -24,8 +24,9 @@ def pages_not_visited_sql(log: DataFrame, user_id: str = "") -> DataFrame:
     """The same question in SQL, as an anti-join."""
     return log.sparkSession.sql(
         """
-        SELECT DISTINCT page FROM {log} a
-        WHERE NOT EXISTS (SELECT 1 FROM {log} b WHERE b.user_id = :user_id AND b.page <=> a.page)
+        WITH pages AS (SELECT DISTINCT page FROM {log}),
+             seen AS (SELECT DISTINCT page FROM {log} WHERE user_id = :user_id)
+        SELECT page FROM pages WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.page <=> pages.page)
         """,
         args={"user_id": user_id}, log=log,
     )
@@ -111,7 +112,7 @@ def listings_per_month(
     calendars: DataFrame, listings: DataFrame, year: int, host_prefix: str, k: int = 12
 ) -> DataFrame:
     """Distinct listings with a calendar day per month of a year, for hosts whose id starts with the prefix."""
-    hosts = listings.filter(F.col("host_id").cast("string").like(f"{host_prefix}%"))
+    hosts = listings.filter(F.startswith(F.col("host_id").cast("string"), F.lit(host_prefix)))
     days = calendars.filter(in_year(F.col("date"), year)).select(
         F.date_trunc("month", "date").alias("month"), "listing_id"
     )
@@ -129,7 +130,7 @@ def booking_rows(
 ) -> DataFrame:
     """Denormalised booking rows with an explicit column list."""
     homes = listings.select(F.col("id").alias("listing_id"), "name", "room_type")
-    days = salted_join(calendars.select("listing_id", "date", "adjusted_price"), homes, ["listing_id"], "left", hot_rows)
+    days = skewed_join(calendars.select("listing_id", "date", "adjusted_price"), homes, ["listing_id"], "left")
     grid = hot_grid(calendars, reviews, ["listing_id"], hot_rows)
     return fanout_join(days, reviews.select("listing_id", "review_id", "review_date"), ["listing_id"], grid=grid)
 

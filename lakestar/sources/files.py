@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.contracts import Contract, conform
+from lakestar.sources.sinks import unescaped
 
 
 def _reader(spark: SparkSession, schema: T.StructType | None, tree: bool, glob: str | None) -> DataFrameReader:
@@ -77,8 +78,13 @@ def read_text(spark: SparkSession, path: str | list[str], partitions: int | None
 
 
 def read_table(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """A written table, always from its root so that partition columns come back, with declared types."""
-    return spark.read.schema(contract.schema).parquet(root).select(*contract.columns)
+    """A written table, always from its root so that partition columns come back, with declared types.
+
+    Filters on a partition column still prune folders, as its text depends on nothing else.
+    """
+    table = spark.read.schema(contract.schema).parquet(root).select(*contract.columns)
+    kinds = dict(table.dtypes)
+    return table.withColumns({n: unescaped(F.col(n)) for n in contract.partition_by if kinds[n] == "string"})
 
 
 def stage(df: DataFrame, contract: Contract, root: str, mode: str = "overwrite") -> DataFrame:

@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakestar.contracts import Contract, conform
 
 
+# Fixed value: starts an escaped partition value; alone it stands for blank text.
+ESCAPE = "\\"
+
+
+def escaped(value: Column) -> Column:
+    """A text partition value as it goes into a folder name."""
+    return F.when(value == "", ESCAPE).when(F.startswith(value, F.lit(ESCAPE)), F.concat(F.lit(ESCAPE), value)).otherwise(value)
+
+
+def unescaped(value: Column) -> Column:
+    """The text that ``escaped`` wrote."""
+    return F.when(F.startswith(value, F.lit(ESCAPE)), F.substring(value, F.lit(2), F.length(value))).otherwise(value)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> int:
     """Parquet write, optionally hive-partitioned; returns the number of rows written.
 
     Before a partitioned write rows are brought together by partition key with a
     REBALANCE: like a repartition it avoids a small file per task and key, but
     adaptive execution splits a key that holds much of the data over many tasks.
-    Rows are counted on the way to the files, so nothing is computed twice.
+    Rows are counted on the way to the files, so nothing is computed twice. Blank text in a
+    partition column is written escaped, for a folder name cannot tell it from NULL;
+    ``files.read_table`` turns it back.
     """
     if partition_by:
+        kinds = dict(df.dtypes)
+        df = df.withColumns({n: escaped(F.col(n)) for n in partition_by if kinds[n] == "string"})
         df = df.hint("rebalance", *partition_by)
     written = Observation()
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))

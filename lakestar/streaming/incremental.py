@@ -1,23 +1,41 @@
 """Incremental file ingestion into upserted tables.
 
 Each micro-batch appends one small delta: the upsert state of its own rows, in a
-partition named after the batch. Nothing already stored is read or rewritten, so
-the cost follows the batch and not the table. A replayed batch replaces exactly
-its own partition, and states merge in any order, so replays and late files
-leave the result unchanged.
+partition named after the stream's checkpoint and the batch. Nothing already stored
+is rewritten. A replayed batch replaces exactly its own partition, a new
+checkpoint writes under names of its own, and states merge in any order, so
+replays, files sent again and late files leave the result unchanged.
+
+Deltas are folded into one from time to time; a list beside them names those that
+a fold holds, and readers skip them. Since merging is idempotent, a reader that
+still sees both gets the same table.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.operators.upsert import from_state, merge_states, to_state
 
+FOLD_EVERY = 20
+
+
+def read_if_there(spark: SparkSession, root: str) -> DataFrame | None:
+    """A stored parquet table, or None before its first write."""
+    try:
+        return spark.read.parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
 
 @dataclass(frozen=True)
 class DeltaLog:
@@ -33,34 +51,59 @@ class DeltaLog:
     first: tuple[str, ...] = ()
     last: tuple[str, ...] = ()
 
-    def append(self, rows: DataFrame, batch: int) -> None:
-        state = to_state(rows, list(self.key), list(self.order), list(self.first), list(self.last))
-        _write_batch(state, self.root, batch)
-
-    def state(self, spark: SparkSession) -> DataFrame:
-        return merge_states(spark.read.parquet(self.root).drop("batch"), list(self.key))
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The table as of now: one row per key."""
-        return from_state(self.state(spark), list(self.key), [*self.key, *self.first, *self.last])
+    @property
+    def columns(self) -> list[str]:
+        return [*self.key, *self.first, *self.last]
 
-    def compact(self, spark: SparkSession, new_root: str) -> "DeltaLog":
-        """Fold all deltas into one under a new root; readers switch when they like.
+    def append(self, rows: DataFrame, batch: str, fold_every: int = FOLD_EVERY) -> None:
+        """Store the state of some rows; fold the deltas once ``fold_every`` of them have gathered.
 
-        It gets batch number -1, so the stream can go on appending to the new root.
+        One stream appends to a log at a time, so no delta comes in during a fold.
         """
-        _write_batch(self.state(spark), new_root, -1)
-        return DeltaLog(new_root, self.key, self.order, self.first, self.last)
-
-
-def _write_batch(df: DataFrame, root: str, batch: int) -> None:
-    writer = df.withColumn("batch", F.lit(batch)).write.mode("overwrite").partitionBy("batch")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(root)
-
-
-def append_batch(facts: DataFrame, root: str, batch: int) -> None:
+        state = to_state(rows, list(self.key), list(self.order), list(self.first), list(self.last))
+        _write_batch(state, f"{self.root}/deltas", batch)
+        if len(self._open(rows.sparkSession)) > fold_every:
+            self.fold(rows.sparkSession)
+
+    def _folded(self, spark: SparkSession) -> list[str]:
+        listed = read_if_there(spark, f"{self.root}/folded")
+        return [r["batch"] for r in listed.collect()] if listed is not None else []  # a name per folded batch
+
+    def _open(self, spark: SparkSession) -> list[str]:
+        """Names of the deltas that no fold holds."""
+        stored = read_if_there(spark, f"{self.root}/deltas")
+        if stored is None:
+            return []
+        return sorted({r["batch"] for r in stored.select("batch").distinct().collect()} - set(self._folded(spark)))
+
+    def state(self, spark: SparkSession) -> DataFrame | None:
+        stored = read_if_there(spark, f"{self.root}/deltas")
+        if stored is None:
+            return None
+        return merge_states(stored.filter(~F.col("batch").isin(self._folded(spark))).drop("batch"), list(self.key))
+
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        """The table as of now, one row per key; None before the first batch."""
+        state = self.state(spark)
+        return state if state is None else from_state(state, list(self.key), self.columns)
+
+    def fold(self, spark: SparkSession) -> None:
+        """One delta for all that are open. They are listed as folded only after it is written."""
+        names = self._open(spark)
+        if len(names) > 1:
+            _write_batch(self.state(spark), f"{self.root}/deltas", f"fold-{uuid.uuid4().hex}")
+            spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.mode("append").parquet(f"{self.root}/folded")
+
+
+def _write_batch(df: DataFrame, root: str, batch: str, partition_by: tuple[str, ...] = ()) -> None:
+    parts = [*partition_by, "batch"]
+    rows = df.withColumn("batch", F.lit(batch)).hint("rebalance", *parts)
+    rows.write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic").parquet(root)
+
+
+def append_batch(facts: DataFrame, root: str, batch: str, partition_by: tuple[str, ...] = ()) -> None:
     """Append fact rows under their batch; running the batch again replaces them."""
-    _write_batch(facts, root, batch)
+    _write_batch(facts, root, batch, partition_by)
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -80,10 +123,19 @@ def file_stream(
     return reader.load(path)
 
 
-def ingest_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
-    """Process all files that are there and not yet committed, batch by batch, then stop."""
+def ingest_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, str], None]) -> None:
+    """Process all files that are there and not yet committed, batch by batch, then stop.
+
+    ``handle`` gets a batch and its name. The name holds the id that the checkpoint keeps for
+    its stream, so a batch has the same name when it is run again and no other stream's.
+    """
+
+    def named(rows: DataFrame, batch: int) -> None:
+        stream_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        handle(rows, f"{stream_id}-{batch}")
+
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

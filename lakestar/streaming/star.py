@@ -6,25 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar import contracts as c
+from lakestar.functions.keys import hash_key
 from lakestar.functions.timeparts import calendar_fields
+from lakestar.operators.upsert import last_write_wins
 from lakestar.plans import music
 from lakestar.streaming.incremental import DeltaLog, append_batch, ingest_available, read_batches
 
-SONG_VALUES = ("title", "artist_id", "artist_name", "artist_location", "artist_latitude", "artist_longitude",
-               "duration", "year")
+# The columns of the songs table lead, as they settle which of two rows is kept.
+SONG_VALUES = ("title", "artist_id", "year", "duration", "artist_name", "artist_location", "artist_latitude",
+               "artist_longitude")
+ARTIST_VALUES = ("name", "location", "latitude", "longitude")
 
 
 class StarStream:
     """Incremental tables under one root.
 
-    Songs, artists and start times keep what was seen first; users keep their
-    first names and their latest level. Facts look up the songs known when their
-    batch runs, so load song files before the event files that need them.
+    Songs and artists keep their most complete row, start times what was seen first;
+    users keep their first names and their latest level. Facts look up the songs known
+    when their batch runs; before the first song file they have none. Events sent again
+    do not double their facts: of the rows of an event the one with a song wins, so
+    sending events again after their songs also completes them.
     """
 
-    def __init__(self, root: str):
-        self.root = root
-        self.song_log = DeltaLog(f"{root}/songs", ("song_id",), (), SONG_VALUES)
+    def __init__(self, root: str, commits: str = "commits"):
+        """``commits`` names the folder of the checkpoints; with a new one all files are read again."""
+        self.root, self.commits = root, f"{root}/{commits}"
+        self.song_log = DeltaLog(f"{root}/songs", ("song_id",), ("gaps",), SONG_VALUES)
+        self.artist_log = DeltaLog(f"{root}/artists", ("artist_id",), ("gaps",), ARTIST_VALUES)
         self.user_log = DeltaLog(
             f"{root}/users", ("user_id",), ("ts", "session_id", "item_in_session"),
             tuple(music.USER_FIRST), tuple(music.USER_LAST),
@@ -32,27 +40,42 @@ class StarStream:
         self.time_log = DeltaLog(f"{root}/time", ("start_time",), (), tuple(c.TIME.columns[1:]))
 
     def load_songs(self, stream: DataFrame) -> None:
-        ingest_available(stream, f"{self.root}/commits/songs", self.song_log.append)
+        ingest_available(stream, f"{self.commits}/songs", self._song_batch)
 
     def load_events(self, stream: DataFrame) -> None:
-        ingest_available(stream, f"{self.root}/commits/events", self._event_batch)
+        ingest_available(stream, f"{self.commits}/events", self._event_batch)
 
-    def _event_batch(self, events: DataFrame, batch: int) -> None:
+    def _song_batch(self, songs: DataFrame, batch: str) -> None:
+        rows = songs.persist()
+        try:
+            gaps = music.gaps(["song_id", *SONG_VALUES[:4]])
+            self.song_log.append(rows.withColumn("gaps", gaps), batch)
+            artists = music.artist_rows(rows)
+            self.artist_log.append(artists.withColumn("gaps", music.gaps(artists.columns)), batch)
+        finally:
+            rows.unpersist()
+
+    def _event_batch(self, events: DataFrame, batch: str) -> None:
         plays = music.plays(events).persist()  # three tables from one parse of the batch's files
         try:
             starts = plays.select(music.start_time().alias("start_time"))
             self.time_log.append(starts.withColumns(calendar_fields(F.col("start_time"))), batch)
-            self.user_log.append(plays, batch)
-            facts = music.songplays(plays, self.catalogue(events.sparkSession), "left", "first")
-            append_batch(facts, f"{self.root}/songplays", batch)
+            self.user_log.append(music.known_plays(plays), batch)
+            event = hash_key("session_id", "ts", "item_in_session", "user_id")
+            facts = music.songplays(
+                plays.withColumn("event", event), self.catalogue(events.sparkSession), "left", "first", keep=("event",))
+            append_batch(facts, f"{self.root}/songplays", batch, c.SONGPLAYS.partition_by)
         finally:
             plays.unpersist()
 
     def catalogue(self, spark: SparkSession) -> DataFrame:
-        return self.song_log.read(spark)
+        known = self.song_log.read(spark)
+        return known if known is not None else spark.createDataFrame([], c.STAGING_SONGS.schema)
 
     def songplays(self, spark: SparkSession) -> DataFrame:
-        return c.conform(read_batches(spark, f"{self.root}/songplays"), c.SONGPLAYS)
+        facts = read_batches(spark, f"{self.root}/songplays")
+        found = facts.withColumn("found", F.col("song_id").isNotNull())
+        return c.conform(last_write_wins(found, ["event"], ["found"]), c.SONGPLAYS)
 
     def users(self, spark: SparkSession) -> DataFrame:
         return c.conform(self.user_log.read(spark), c.USERS)
@@ -64,4 +87,4 @@ class StarStream:
         return music.songs(self.catalogue(spark))
 
     def artists(self, spark: SparkSession) -> DataFrame:
-        return music.artists(self.catalogue(spark))
+        return c.conform(self.artist_log.read(spark), c.ARTISTS)

@@ -98,6 +98,17 @@ def listing_merged_columns(t: Tables):
     return lodging.merge_listings(*listing_files(t))
 
 
+@query("listing_with_equal_columns", f"""WITH {LISTING_SQL}
+SELECT id, name, host_name, latitude, longitude, neighbourhood, CAST(price AS DOUBLE) AS price
+FROM (SELECT * REPLACE (latitude AS longitude, name AS host_name) FROM listing)""")
+def listing_with_equal_columns(t: Tables):
+    # Columns of the contract that agree on every row stay apart.
+    detailed, summary = listing_files(t)
+    same = detailed.withColumns({"longitude": F.col("latitude"), "host_name": F.col("name")})
+    df = lodging.listing(same, summary).withColumn("price", F.col("price").cast("double"))
+    return df.select("id", "name", "host_name", "latitude", "longitude", "neighbourhood", "price")
+
+
 @query("listing_table", f"""WITH {LISTING_SQL}
 SELECT id, CAST(month(make_timestamp(host_since_us)) AS INTEGER) AS month, name, description,
        CAST(host_id AS BIGINT) AS host_id, host_name, CAST(host_since_us AS BIGINT) AS host_since_us, source, latitude,

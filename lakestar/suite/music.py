@@ -11,6 +11,8 @@ from lakestar.functions.timeparts import (
 from lakestar.operators.lookup import chained_name_join
 from lakestar.operators.upsert import from_state
 from lakestar.plans import music
+from lakestar.plans.load import published, run_question_load
+from lakestar.session import work_dir
 from lakestar.suite import query
 from lakestar.suite.tables import CATALOGUE_SQL, PLAY_LOG_SQL, VISITS_SQL, Tables
 
@@ -19,8 +21,10 @@ MS = "make_timestamp(ts * 1000)"
 
 
 @query("songs_dimension", f"""WITH {CATALOGUE_SQL}
-SELECT song_id, min(title) AS title, min(artist_id) AS artist_id, min(year) AS year, min(duration) AS duration
-FROM catalogue WHERE song_id IS NOT NULL GROUP BY song_id""")
+SELECT song_id, title, artist_id, year, duration FROM (SELECT *, row_number() OVER (PARTITION BY song_id
+    ORDER BY (title IS NULL)::INT + (artist_id IS NULL)::INT + (year IS NULL)::INT + (duration IS NULL)::INT,
+             title NULLS FIRST, artist_id NULLS FIRST, year NULLS FIRST, duration NULLS FIRST) AS rn FROM catalogue WHERE song_id IS NOT NULL)
+WHERE rn = 1""")
 def songs_dimension(t: Tables):
     return music.songs(t.catalogue())
 
@@ -42,14 +46,17 @@ def users_distinct(t: Tables):
     return music.users_distinct(t.play_log(songs=False))
 
 
-@query("users_latest_level", f"""WITH {PLAY_LOG_SQL}, ranked AS (
+USERS_SQL = f"""WITH {PLAY_LOG_SQL}, ranked AS (
     SELECT *, row_number() OVER (PARTITION BY user_id
                   ORDER BY ts, session_id, item_in_session, first_name, last_name, gender) AS f,
               row_number() OVER (PARTITION BY user_id
                   ORDER BY ts DESC, session_id DESC, item_in_session DESC, level DESC) AS l
     FROM play_log WHERE page = 'NextSong')
 SELECT a.user_id, a.first_name, a.last_name, a.gender, b.level
-FROM ranked a JOIN ranked b ON a.user_id = b.user_id AND a.f = 1 AND b.l = 1""")
+FROM ranked a JOIN ranked b ON a.user_id = b.user_id AND a.f = 1 AND b.l = 1"""
+
+
+@query("users_latest_level", USERS_SQL)
 def users_latest_level(t: Tables):
     state = music.user_state(t.play_log(songs=False), ["ts", "session_id", "item_in_session"])
     return from_state(state, ["user_id"], c.USERS.columns)
@@ -64,13 +71,7 @@ SELECT start_ms, CAST(hour({ts}) AS INTEGER) AS hour, CAST(day({ts}) AS INTEGER)
 
 
 def _time(t: Tables, resolution: str):
-    # The time dimension needs nothing but the line items.
-    flag = F.col("l_returnflag")
-    events = t.lineitem.select(
-        (F.unix_millis(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber") * 250).alias("ts"),
-        F.when(flag == "N", "NextSong").alias("page"),
-    )
-    time = music.time_dimension(events, resolution)
+    time = music.time_dimension(t.play_log(users=False, songs=False), resolution)
     return time.withColumn("start_ms", F.unix_millis("start_time")).drop("start_time")
 
 
@@ -128,7 +129,7 @@ def songplays_inner_distinct(t: Tables):
            item_in_session, location, user_agent
     FROM play_log LEFT JOIN catalogue ON song = title AND artist = artist_name AND length = duration
     WHERE page = 'NextSong')
-SELECT {_key_sql('session_id', 'start_us', 'item_in_session', 'song_id')} AS songplay_id, start_us, {FACT_COLUMNS}
+SELECT {_key_sql('session_id', 'start_us', 'item_in_session', 'song_id', 'user_id')} AS songplay_id, start_us, {FACT_COLUMNS}
 FROM facts""")
 def songplays_left_md5(t: Tables):
     return fact_columns(music.songplays(t.play_log(users=False), t.catalogue(), "left", resolution="seconds"))
@@ -141,7 +142,7 @@ facts AS (
     SELECT ts * 1000 AS start_us, user_id, level, song_id, artist_id, session_id, item_in_session, location, user_agent
     FROM play_log LEFT JOIN lookup ON song = title AND artist = artist_name AND length = duration
     WHERE page = 'NextSong')
-SELECT {_key_sql('session_id', 'start_us', 'item_in_session', 'song_id')} AS songplay_id, start_us, {FACT_COLUMNS}
+SELECT {_key_sql('session_id', 'start_us', 'item_in_session', 'song_id', 'user_id')} AS songplay_id, start_us, {FACT_COLUMNS}
 FROM facts"""
 
 
@@ -157,9 +158,8 @@ SELECT user_id, session_id, song_id, ts AS start_ms, CAST(hour({MS}) AS INTEGER)
 FROM play_log JOIN catalogue ON song = title AND artist = artist_name AND length = duration
 WHERE page = 'NextSong'""")
 def songplays_with_time(t: Tables):
-    log = t.play_log(users=False)
-    facts = music.songplays(log, t.catalogue(), "inner")
-    return music.with_time(facts, music.time_dimension(log)).select(
+    facts = music.songplays(t.play_log(users=False), t.catalogue(), "inner")
+    return music.with_time(facts).select(
         "user_id", "session_id", "song_id", F.unix_millis("start_time").alias("start_ms"),
         "hour", "week", "year", "month", "weekday",
     )
@@ -217,23 +217,33 @@ def user_song_table(t: Tables):
     return music.user_song(t.play_log())
 
 
-@query("song_at_session_item", f"""WITH {PLAY_LOG_SQL}
-SELECT artist, song, length FROM ({SESSION_ITEM_SQL}) WHERE session_id = 338 AND item_in_session = 4""")
+def _laid_out(t: Tables, contract: c.Contract):
+    """A question table as the load wrote and published it."""
+    root = work_dir(t.spark, "questions")
+    run_question_load(t.play_log(), root, layouts=(contract,))
+    return published(t.spark, root, contract)
+
+
+@query("song_at_session_item", f"""WITH {PLAY_LOG_SQL}, laid_out AS ({SESSION_ITEM_SQL})
+SELECT artist, song, length FROM laid_out ORDER BY session_id, item_in_session LIMIT 1""")
 def song_at_session_item(t: Tables):
-    return music.song_at(music.session_item(t.play_log(users=False)), 338, 4)
+    # The first place there is, so that it exists at every size.
+    table = _laid_out(t, c.SESSION_ITEM)
+    place = table.select("session_id", "item_in_session").orderBy("session_id", "item_in_session").first()
+    return music.song_at(table, *place)
 
 
 @query("songs_of_user_session", f"""WITH {PLAY_LOG_SQL}
 SELECT item_in_session, artist, song, first_name, last_name FROM ({USER_SESSION_SQL})
 WHERE user_id = 899 AND session_id = 0 ORDER BY item_in_session""")
 def songs_of_user_session(t: Tables):
-    return music.songs_of_session(music.user_session(t.play_log()), 899, 0)
+    return music.songs_of_session(_laid_out(t, c.USER_SESSION), 899, 0)
 
 
 @query("listeners_of_song", f"""WITH {PLAY_LOG_SQL}
 SELECT DISTINCT user_id, first_name, last_name FROM ({USER_SONG_SQL}) WHERE song = 'small ring'""")
 def listeners_of_song(t: Tables):
-    return music.listeners(music.user_song(t.play_log()), "small ring")
+    return music.listeners(_laid_out(t, c.USER_SONG), "small ring")
 
 
 @query("listeners_of_title_start", f"""WITH {PLAY_LOG_SQL}
@@ -242,6 +252,28 @@ def listeners_of_title_start(t: Tables):
     return music.listeners(music.user_song(t.play_log()), "SMALL R", prefix=True)
 
 
+@query("listeners_of_literal_start", f"""WITH {PLAY_LOG_SQL}, named AS (SELECT * REPLACE ('100% ' || song AS song) FROM play_log)
+SELECT DISTINCT user_id, first_name, last_name FROM named WHERE artist <> '' AND starts_with(lower(song), '100% small')""")
+def listeners_of_literal_start(t: Tables):
+    # Signs that are wildcards elsewhere stand for themselves; "100 small" would match them as wildcards.
+    named = t.play_log().withColumn("song", F.concat(F.lit("100% "), "song"))
+    return music.listeners(music.user_song(named), "100% SMALL", prefix=True)
+
+
+TWICE_SQL = f"""WITH {CATALOGUE_SQL}, twice AS (
+    SELECT song_id, title, artist_id, year, duration FROM catalogue
+    UNION ALL SELECT song_id, NULL, artist_id, year + 1, duration FROM catalogue)"""
+
+
+@query("songs_given_twice", f"""{TWICE_SQL}
+SELECT song_id, title, artist_id, year, duration FROM twice WHERE title IS NOT NULL""")
+def songs_given_twice(t: Tables):
+    # A second row per id without a title: the complete one is kept.
+    songs = t.catalogue()
+    gappy = songs.withColumns({"title": F.lit(None).cast("string"), "year": F.col("year") + 1})
+    return music.songs(songs.unionByName(gappy))
+
+
 @query("event_subset", f"""WITH {PLAY_LOG_SQL}
 SELECT artist, first_name, gender, item_in_session, last_name, length, level, location, session_id, song, user_id
 FROM play_log WHERE artist <> ''""")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakestar.contracts import Contract, conform, struct
 from lakestar.functions.cleaning import blank_to_zero, cast_columns, fill_text, money, nan_to_null
 from lakestar.operators import quality as q
-from lakestar.operators.profile import describe_numbers, duplicate_count, missing_percent, profile
+from lakestar.operators.profile import describe_columns, describe_numbers, duplicate_count, missing_percent, profile
 from lakestar.suite import query
 from lakestar.suite.tables import LABELLED_SQL, Tables
 
@@ -91,6 +91,35 @@ def describe_event_numbers(t: Tables):
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
+@query("describe_columns", """SELECT 'event_type' AS "column", count(event_type) AS count, CAST(NULL AS DOUBLE) AS mean,
+       CAST(NULL AS DOUBLE) AS stddev, min(event_type) AS min, max(event_type) AS max FROM events
+UNION ALL SELECT 'user_id', count(user_id), round(avg(user_id), 6), round(stddev(user_id), 6),
+       CAST(min(user_id) AS VARCHAR), CAST(max(user_id) AS VARCHAR) FROM events""")
+def describe_event_columns(t: Tables):
+    stats = describe_columns(t.events, ["event_type", "user_id"])
+    return stats.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
+
+
+@query("missing_percent_with_nan", """SELECT 'c_custkey' AS "column", 0.0 AS pct_missing UNION ALL
+SELECT 'c_acctbal', round(avg(CASE WHEN c_acctbal < 1000 THEN 1.0 ELSE 0.0 END) * 100, 0) FROM customer UNION ALL
+SELECT 'c_mktsegment', round(avg(CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END) * 100, 0) FROM customer""")
+def missing_percent_with_nan(t: Tables):
+    gappy = t.customer.select(
+        "c_custkey", F.when(F.col("c_acctbal") < 0, None).when(F.col("c_acctbal") < 1000, F.lit(float("nan"))).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment"))
+    return missing_percent(gappy)
+
+
+VALID_SQL = "(o_totalprice >= 100000 AND o_orderpriority <> '5-LOW')"
+
+
+@query("split_by_constraints", f"""SELECT o_orderkey, 'valid' AS part FROM orders WHERE coalesce({VALID_SQL}, false)
+UNION ALL SELECT o_orderkey, 'rejected' FROM orders WHERE NOT coalesce({VALID_SQL}, false)""")
+def split_by_constraints(t: Tables):
+    good, bad = q.split_valid(t.orders, [F.col("o_totalprice") >= 100000, F.col("o_orderpriority") != "5-LOW"])
+    return good.select("o_orderkey", F.lit("valid").alias("part")).unionByName(bad.select("o_orderkey", F.lit("rejected").alias("part")))
+
+
 @query("constraint_flags", """SELECT o_orderkey, o_custkey, o_totalprice,
        (o_totalprice >= 100000 AND o_orderpriority <> '5-LOW' AND o_custkey IS NOT NULL) AS valid FROM orders""")
 def constraint_flags(t: Tables):

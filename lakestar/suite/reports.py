@@ -99,7 +99,7 @@ def downgrade_timeline(t: Tables):
 
 
 def _day_totals(frame: str):
-    """Line items per part by ship date: many equal dates, so the two frames differ."""
+    """Line items per return flag by ship date: many equal dates, so the two frames differ."""
     return f"""SELECT l_partkey, l_orderkey, l_linenumber, l_shipdate_us, l_quantity,
        CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_returnflag ORDER BY {frame}) AS BIGINT) AS so_far
 FROM (SELECT *, CAST(epoch_us(l_shipdate) AS BIGINT) AS l_shipdate_us FROM lineitem)"""
@@ -132,6 +132,17 @@ def running_sum_rows(t: Tables):
     return summed.select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate_us", "l_quantity", "so_far")
 
 
+@query("running_sum_with_nulls", """SELECT l_partkey, l_orderkey, l_linenumber, l_quantity,
+       CAST(epoch_us(l_shipdate) AS BIGINT) AS l_shipdate_us,
+       CAST(sum(CASE WHEN l_linenumber % 3 <> 0 AND l_quantity > 10 THEN l_quantity END) OVER (PARTITION BY l_returnflag
+            ORDER BY epoch_us(l_shipdate) DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS so_far FROM lineitem""")
+def running_sum_with_nulls(t: Tables):
+    # The same hot keys with values that are NULL for part of the rows.
+    some = F.when((F.col("l_linenumber") % 3 != 0) & (F.col("l_quantity") > 10), F.col("l_quantity").cast("bigint"))
+    summed = running_sum(_line_items(t), ["l_returnflag"], "l_shipdate_us", some, "so_far")
+    return summed.select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate_us", "l_quantity", "so_far")
+
+
 @query("latest_event_per_session", f"""WITH {VISITS_SQL}
 SELECT user_id, session_id, ts_us, page, event_id FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id, session_id ORDER BY ts_us DESC, event_id DESC) AS rn FROM visits)

@@ -65,6 +65,18 @@ def upsert_replayed(t: Tables):
     return upsert(once, incoming, KEY, ["shipped"], update=LAST)
 
 
+@query("upsert_keeps_unkeyed_rows", f"""WITH {SIDES_SQL} SELECT * FROM ({_pick_sql(VALUES, False)})
+UNION ALL SELECT NULL, l_linenumber, {', '.join(VALUES)} FROM rows WHERE arrival = 0 AND l_linenumber = 1""")
+def upsert_keeps_unkeyed_rows(t: Tables):
+    # Stored rows without a key part stay; incoming ones cannot be keyed.
+    target, incoming = _sides(t)
+
+    def unkeyed(df):
+        return df.filter("l_linenumber = 1").withColumn("l_orderkey", F.lit(None).cast(df.schema["l_orderkey"].dataType))
+
+    return upsert(target.unionByName(unkeyed(target)), incoming.unionByName(unkeyed(incoming)), KEY, ["shipped"], update=[])
+
+
 @query("overwrite_by_primary_key", f"WITH {SIDES_SQL} {_pick_sql(VALUES, True)}")
 def overwrite_by_primary_key(t: Tables):
     return upsert(*_sides(t), KEY, ["shipped"], update=None)

@@ -87,3 +87,9 @@ def test_catalogue_tables(spark, tmp_path):
     assert set(spark.table("songs").columns) == set(SONGS.columns) and spark.table("songs").count() == 0
     drop_tables(spark, MUSIC_STAR)
     assert not spark.catalog.tableExists("songs")
+
+
+def test_only_doubled_columns_are_compared_and_the_contract_is_kept(spark):
+    df = spark.createDataFrame([(1, 2, 2, 2, 2)], "id int, a_x int, a_y int, b int, c int")
+    assert columns.duplicate_columns(df, [("a_x", "a_y"), ("b", "c")], keep=["c"]) == {"a_y": "a_x"}
+    assert columns.duplicate_columns(df.limit(0)) == {}

@@ -69,7 +69,11 @@ def test_partition_values_keep_their_type(spark, tmp_path):
     read = files.read_table(spark, str(tmp_path / "t"), contract)
     assert rows(read) == rows(df)
     pruned = read.filter("code = '007'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(code" in pruned
+    assert "PartitionFilters: []" not in pruned
+    assert len(read.filter("code = '007'").inputFiles()) <= len(read.inputFiles())
+    odd = spark.createDataFrame([(1, ""), (2, None), (3, "\\"), (4, "\\x")], contract.schema)
+    sinks.write_table(odd, contract, str(tmp_path / "odd"))
+    assert rows(files.read_table(spark, str(tmp_path / "odd"), contract)) == rows(odd)
 
 
 def test_clustered_write_is_sorted_and_splits_a_hot_leading_key(spark, tmp_path):
@@ -128,18 +132,27 @@ def test_incremental_ingestion(spark, tmp_path):
     ingest_available(stream, str(tmp_path / "cp"), handle)
     assert len(batches) == 4 and log.read(spark).count() == 3
     assert read_batches(spark, str(tmp_path / "facts")).count() == 5
-    compacted = log.compact(spark, str(tmp_path / "users2"))
-    assert rows(compacted.read(spark)) == rows(log.read(spark))
+    before = rows(log.read(spark))
+    ingest_available(stream, str(tmp_path / "cp2"), log.append)  # all files again, under a new checkpoint
+    assert rows(log.read(spark)) == before
+    log.fold(spark)
+    assert rows(log.read(spark)) == before and len(log._open(spark)) == 1
+    log.append(spark.createDataFrame([(9, "Di", "free", 1)], SCHEMA), "later")
+    assert log.read(spark).count() == len(before) + 1
 
 
 def test_replayed_batch_replaces_itself(spark, tmp_path):
     log = users_log(tmp_path / "users")
     df = spark.createDataFrame([(1, "Ann", "free", 10), (1, "Ann", "paid", 20)], SCHEMA)
     for _ in range(2):
-        log.append(df, 0)
-        append_batch(df, str(tmp_path / "facts"), 0)
-    log.append(df, 1)
-    assert rows(log.read(spark)) == [(1, "Ann", "paid")]
+        log.append(df, "0")
+        append_batch(df, str(tmp_path / "facts"), "0")
+    log.append(df, "1")
+    other = spark.createDataFrame([(3, "Cy", "free", 1)], SCHEMA)
+    for batch in ("2", "3", "4"):
+        log.append(other, batch, fold_every=2)
+    assert rows(log.read(spark)) == [(1, "Ann", "paid"), (3, "Cy", "free")]
+    assert len(log._open(spark)) <= 3
     assert read_batches(spark, str(tmp_path / "facts")).count() == 2
 
 

@@ -5,11 +5,12 @@ from collections import defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakestar.contracts import struct
-from lakestar.operators.running import label_by_anchor, mean_rows_between_anchors, running_sum
-from lakestar.operators.skew import fanout_join, hot_grid, hot_limit, salted_join
+from lakestar.operators.running import _slices, label_by_anchor, mean_rows_between_anchors, running_sum
+from lakestar.operators.skew import fanout_join, hot_grid, hot_limit, skewed_join
 
 
 def skewed_log(n=900, seed=7):
@@ -133,21 +134,22 @@ def test_two_column_key(spark):
 
 @pytest.mark.parametrize("hot_rows", [10**9, 40, 5, 1])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join(spark, hot_rows, how):
+def test_skewed_join(spark, hot_rows, how):
     left, right = sides(spark)
-    assert rows(salted_join(left, right, ["k"], how, hot_rows)) == rows(left.join(right, "k", how))
+    assert rows(skewed_join(left, right, ["k"], how)) == rows(left.join(right, "k", how))
+    assert rows(skewed_join(left, right, ["k"], how, True, hot_rows)) == rows(left.join(right, "k", how))
     unique = right.groupBy("k").agg(F.min("b").alias("b"))
-    assert rows(salted_join(left, unique, ["k"], how, hot_rows)) == rows(left.join(unique, "k", how))
+    assert rows(skewed_join(left, unique, ["k"], how, True, hot_rows)) == rows(left.join(unique, "k", how))
 
 
-def test_salted_join_spreads_a_hot_key_over_tasks(spark):
+def test_skewed_join_spreads_a_hot_key_over_tasks(spark):
     """With broadcasts off, identical copies of one hot key end up in several shuffle partitions."""
     left = spark.range(4000, numPartitions=8).select(F.lit(1).alias("k"), F.lit("x").alias("a"))
     right = spark.createDataFrame([(1, "y")], "k int, b string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = salted_join(left, right, ["k"], "left", 100)
+        got = skewed_join(left, right, ["k"], "left", True, 100)
         sizes = got.groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in sizes) == 4000 and len(sizes) > 2
     finally:
@@ -160,3 +162,44 @@ def test_default_limit_is_a_share_of_all_rows(spark):
     limit = lambda n: spark.range(1).select(hot_limit(spark.range(n).agg(F.count(F.lit(1)))).alias("x")).first().x
     assert limit(100) == 10_000
     assert limit(pieces * 50_000) == 50_000
+
+
+def sums(df, hot_rows, **options):
+    value = F.when(F.col("v") >= 0, F.col("v"))
+    return rows(running_sum(df, ["k"], "pos", value, "s", hot_rows=hot_rows, **options))
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_running_sum_is_the_same_hot_or_not(spark, descending):
+    """NULL values, NULL positions and one far outlier."""
+    data = [(1, i, -1 if i % 3 == 0 else i % 5) for i in range(60)] + [(1, 10**12, 7), (1, None, 2), (1, None, -1), (1, 10**12 + 1, -1)]
+    df = spark.createDataFrame(data + [(2, 5, -1), (None, 3, 4)], "k int, pos long, v int")
+    plain = sums(df, 10**9, descending=descending, bucket=1)
+    for hot_rows in (1, 7):
+        assert sums(df, hot_rows, descending=descending, bucket=1) == plain
+    window = Window.partitionBy("k").orderBy(F.desc("pos") if descending else F.asc("pos")).rangeBetween(Window.unboundedPreceding, 0)
+    assert plain == rows(df.withColumn("s", F.sum(F.when(F.col("v") >= 0, F.col("v"))).over(window)))
+
+
+def test_an_outlier_moves_no_other_slice(spark):
+    data = [(1, i) for i in range(1000)] + [(1, 10**15)]
+    df = spark.createDataFrame(data, "k int, pos long").withColumns({"__value": F.lit(1), "__bucket": F.col("pos")})
+    found = _slices(df, ["k"], F.desc, 100).collect()
+    sizes = [sum(r["__low"] <= p <= r["__high"] for _, p in data) for r in found]
+    assert sum(sizes) == 1001 and max(sizes) <= 200
+
+
+def test_running_sum_takes_whole_numbers_only(spark):
+    df = spark.createDataFrame([(1, 1, 0.5)], "k int, pos int, v double")
+    with pytest.raises(TypeError):
+        running_sum(df, ["k"], "pos", F.col("v"), "s")
+
+
+def test_small_dimension_shuffles_no_log(spark):
+    """A hot key with a dimension below the broadcast threshold: the log stays where it is."""
+    log = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
+    dimension = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    joined = skewed_join(log, dimension, ["k"], "left")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
