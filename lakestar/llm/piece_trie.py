@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -200,7 +201,8 @@ class Encoder:
     """Ids of marked words, with a bounded table of those met before."""
 
     def __init__(self, model: PieceModel):
-        self.model, self.kept, self.pairs = model, {}, {}
+        self.model, self.kept, self.older, self.pairs = model, {}, {}, {}
+        self.reached = {i for p, i in model.usable.items() if len(p) == 1 or p in model.halves} if model.method == BPE else set(model.usable.values())
         self.size = len(model.pieces)
         self.floor = min((model.scores[i] for i in model.usable.values()), default=0.0) - UNKNOWN_COST
         self.out = [b"" for _ in range(self.size)]
@@ -214,6 +216,9 @@ class Encoder:
 
     def pack(self, ids: Iterable[int], word: str) -> bytes:
         """Ids as bytes; unknown signs as their bytes."""
+        ids = list(ids)
+        if min(ids) >= 0:
+            return array("i", ids).tobytes()
         out, at = [], 0
         for i in ids:
             if i >= 0:
@@ -222,7 +227,7 @@ class Encoder:
             else:
                 out += [self.model.byte_ids[b] for b in word[at].encode()] if self.model.byte_ids else [self.model.unknown]
                 at += 1
-        return np.array(out, "<i4").tobytes()
+        return array("i", out).tobytes()
 
     def may_follow(self, a: int, b: int) -> bool:
         if a < 0 or b < 0:
@@ -232,14 +237,14 @@ class Encoder:
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            pieces, halves = self.model.pieces, self.model.halves
-            known = self.pairs[key] = all(len(pieces[x]) == 1 or pieces[x] in halves for x in (a, b)) and self.model.apart(pieces[a], pieces[b])
+            pieces = self.model.pieces
+            known = self.pairs[key] = a in self.reached and b in self.reached and self.model.apart(pieces[a], pieces[b])
         return known
 
     def encode_sorted(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each of the sorted words with its ids: a depth-first walk of their trie."""
-        model, scores, root = self.model, self.model.scores, self.model.trie
-        sums, bpe, low = model.method == UNIGRAM, model.method == BPE, float("-inf")
+        model, scores, root, pairs, size = self.model, self.model.scores, self.model.trie, self.pairs, self.size
+        sums, low = model.method == UNIGRAM, float("-inf")
         # By length of the prefix: forward score, last piece, where it begins, pieces still open.
         score, last, start, opened = [0.0], [-1], [0], [[]]
         before = ""
@@ -255,19 +260,23 @@ class Encoder:
                     child = node.get(sign)
                     if child is None:
                         continue
-                    if child[1]:
-                        still.append((j, child[1]))
-                    p = child[0]
+                    p, more = child
+                    if more:
+                        still.append((j, more))
                     if p < 0 or score[j] == low:
                         continue
                     if sums:
                         reach = score[j] + scores[p]
                         if reach > best:
                             best, piece, begin = reach, p, j
-                    elif j == 0 and self.alone(p) or j and self.may_follow(last[j], p):
-                        best, piece, begin = 0.0, p, j
-                if (sign not in root or root[sign][0] < 0) and score[i] != low:
-                    if sums and score[i] + self.floor > best or bpe and piece == -2:
+                    elif piece == -2:  # one arc at most is admitted
+                        fits = self.alone(p) if not j else pairs.get(last[j] * size + p) if last[j] >= 0 else True
+                        if fits is None:
+                            fits = self.may_follow(last[j], p)
+                        if fits:
+                            best, piece, begin = 0.0, p, j
+                if score[i] != low and (sign not in root or root[sign][0] < 0):
+                    if sums and score[i] + self.floor > best or not sums and piece == -2:
                         best, piece, begin = score[i] + self.floor if sums else 0.0, -1, i
                 score.append(best)
                 last.append(piece)
@@ -281,24 +290,26 @@ class Encoder:
             while i:
                 path.append(last[i])
                 i = start[i]
-            yield word, self.pack(reversed(path), word)
+            path.reverse()
+            yield word, self.pack(path, word)
 
     def alone(self, p: int) -> bool:
-        piece = self.model.pieces[p]
-        return len(piece) == 1 or piece in self.model.halves
+        return p in self.reached
 
     def encode(self, texts: list[str | None]) -> list[bytes | None]:
         """Ids of each text as little-endian 32-bit numbers."""
         cut = [self.model.words.findall(self.model.normal(t)) if t is not None else None for t in texts]
-        new = {w for words in cut if words for w in words}.difference(self.kept)
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept.clear()
-            new = {w for words in cut if words for w in words}
-        self.kept.update(self.encode_sorted(sorted(new)))
+        needed = set().union(*(words for words in cut if words))
+        if len(self.kept) + len(needed.difference(self.kept)) > KEPT_WORDS:
+            self.older, self.kept = self.kept, {}  # words that no batch needs until the next turn go
+        new = needed.difference(self.kept)
+        known = {w: self.older[w] for w in new if w in self.older}
+        self.kept.update(known)
+        self.kept.update(self.encode_sorted(sorted(new.difference(known))))
         find = self.kept.__getitem__
         out = [b"".join(map(find, words)) if words is not None else None for words in cut]
         for w in [w for w in new if len(w) > LONG_WORD]:
-            del self.kept[w]
+            self.kept.pop(w, None)
         return out
 
     def decode(self, ids: bytes) -> str:
