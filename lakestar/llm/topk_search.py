@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestar.llm.shared import hash_sample, saved, table
@@ -128,12 +128,12 @@ def block_rows(group: pd.DataFrame) -> pd.DataFrame:
         "floors": [order["floor"].to_numpy().astype("<f8").tobytes()]})
 
 
-def blocks(rows: DataFrame, counts: DataFrame, name: str) -> DataFrame:
-    """Rows of a leaf packed into matrices; a large leaf is dealt over as many blocks as it needs."""
-    number = F.pmod(F.xxhash64("vec_id", "x"), F.ceil(F.col("n") * 2 / BLOCK))
-    packed = rows.join(F.broadcast(counts), "leaf").withColumn("block", number).groupBy("leaf", "block").applyInPandas(
+def blocks(rows: DataFrame, n: Column, name: str) -> DataFrame:
+    """Rows of a leaf packed into matrices; a leaf of ``n`` rows is dealt over as many blocks as it needs."""
+    number = F.pmod(F.xxhash64("vec_id", "x"), F.ceil(n * 2 / BLOCK))
+    packed = rows.withColumn("block", number).groupBy("leaf", "block").applyInPandas(
         block_rows, "leaf int, ids binary, xs binary, floors binary")
-    return packed.select(*(F.col(c).alias(f"{name}_{c}") for c in packed.columns))
+    return packed.select("leaf", *(F.col(c).alias(f"{name}_{c}") for c in ("ids", "xs", "floors")))
 
 
 def score(width: int, k: int):
@@ -211,13 +211,15 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, sample: int = SAMP
         F.max("away").alias("radius"), F.count("*").alias("n"), F.count(F.when(asked, 1)).alias("asked"),
         F.max(F.when(asked, F.col("away"))).alias("asked_radius")).collect()}  # a row per leaf
     counts = spark.createDataFrame([(leaf, s[1]) for leaf, s in stats.items()], "leaf int, n long")
-    data = saved(blocks(placed.withColumn("floor", F.lit(0.0)), counts, "d"), "topk-data")
+    data = saved(blocks(placed.withColumn("floor", F.lit(0.0)).join(F.broadcast(counts), "leaf"), F.col("n"), "d"), "topk-data")
+    n_asked = sum(s[2] for s in stats.values())
 
     def scored(queries: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
-        listed = spark.createDataFrame(pairs, "q_leaf int, d_leaf int")  # at most leaves squared
-        q = blocks(queries, counts, "q")
-        return q.join(F.broadcast(listed), "q_leaf").join(data, "d_leaf").select("q_ids", "q_xs", "q_floors", "d_ids", "d_xs").repartition(
-            spark.sparkContext.defaultParallelism * 2).mapInArrow(score(width, k), SCORED)
+        """Queries go to the leaves that their group has left, and there in matrices against the leaf's."""
+        listed = spark.createDataFrame(pairs, "leaf int, d_leaf int")  # at most leaves squared
+        sent = queries.join(F.broadcast(listed), "leaf").select(F.col("d_leaf").alias("leaf"), "vec_id", "x", "floor")
+        return blocks(sent, F.lit(n_asked), "q").join(data, "leaf").select("q_ids", "q_xs", "q_floors", "d_ids", "d_xs").mapInArrow(
+            score(width, k), SCORED)
 
     own = [(leaf, leaf) for leaf, s in stats.items() if s[2]]
     if not own:
