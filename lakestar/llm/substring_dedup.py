@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.llm.shared import keyed, same_row, saved, table
@@ -196,20 +196,24 @@ def single_windows(window: int):
 
 
 def hot_runs(hot: DataFrame, window: int) -> DataFrame:
-    """Word ranges of repeated windows in buckets that are too large for a task."""
-    places = hot.select("doc_id", "text_key", "start", F.md5("packed").alias("string"), "packed")
-    strings_ = places.dropDuplicates(["doc_id", "text_key", "start"]).groupBy("packed").agg(F.count("*").alias("places"))
+    """Word ranges of repeated windows in buckets that are too large for a task: a row per text and packed string.
+
+    A string that a text repeats is one row with all its places, so a line that fills texts stays small.
+    """
+    places = hot.groupBy("doc_id", "text_key", "packed").agg(F.collect_set("start").alias("starts"))
+    strings_ = places.groupBy("packed").agg(F.sum(F.size("starts")).alias("places"))
     single = saved(
         strings_.select(F.md5("packed").alias("string"), "places", "packed")
         .mapInArrow(single_windows(window), "string string, places long, at int, words binary"), "dedup-windows")
     twice = saved(single.groupBy("words").agg(F.sum("places").alias("n")).where("n > 1").select("words"), "dedup-twice")
     found = saved(
         single.join(twice, "words").groupBy("string").agg(F.sort_array(F.collect_set("at")).alias("ats")), "dedup-found")
-    return (
-        places.select("doc_id", "text_key", "start", "string").join(found, "string")
-        .select("doc_id", "text_key", "start", F.explode("ats").alias("at"))
-        .select("doc_id", "text_key", (F.col("start") + F.col("at")).alias("start"),
-                (F.col("start") + F.col("at") + window).alias("stop")))
+
+    def ranges(start: Column) -> Column:
+        return F.transform("ats", lambda at: F.struct((start + at).alias("start"), (start + at + window).alias("stop")))
+
+    return places.select("doc_id", "text_key", "starts", F.md5("packed").alias("string")).join(found, "string").select(
+        "doc_id", "text_key", F.flatten(F.transform("starts", ranges)).alias("ranges"))
 
 
 def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,9 +252,9 @@ def copies_of_texts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot_rows: int = HOT) -> DataFrame:
-    """Word ranges ``[start, stop)`` of every window that occurs elsewhere too, a row per range.
+    """``(doc_id, text_key, ranges)``: word ranges ``[start, stop)`` of every window that occurs elsewhere too.
 
-    A range of a copied text ends at ``WHOLE``, behind its last word.
+    A text may have several rows. A range of a copied text ends at ``WHOLE``, behind its last word.
     """
     docs = keyed(docs)
     copied = copies_of_texts(docs)
@@ -270,13 +274,14 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot_r
     cold = (
         packed.where("not hot").repartition("mini").sortWithinPartitions("mini")
         .mapInArrow(buckets(window), RUNS))
-    return saved(cold.unionByName(hot_runs(packed.where("hot"), window)).unionByName(whole), "dedup-ranges")
+    rows = cold.unionByName(whole).select("doc_id", "text_key", F.array(F.struct("start", "stop")).alias("ranges"))
+    return saved(rows.unionByName(hot_runs(packed.where("hot"), window)), "dedup-ranges")
 
 
 def remove_repeated(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text: one row per input row."""
     ranges = repeated_ranges(docs, **options).groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("start", "stop")).alias("ranges"))
+        F.flatten(F.collect_list("ranges")).alias("ranges"))
     docs = keyed(docs)
     return docs.join(ranges, same_row(docs, ranges), "left").select(docs["doc_id"], "text", "ranges").mapInArrow(
         keep, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
