@@ -56,12 +56,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.get("leads", F.col("pos") + 1), F.lit("\n"))).alias("beside")))
 
 
-def templates(docs: DataFrame, lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """``(leaf, form, template)`` for the lines of every leaf that ``min_docs`` texts reach."""
-    busy = saved(
-        lines.groupBy("leaf").agg(F.countDistinct("text_key").alias("docs")).where(F.col("docs") >= min_docs).select("leaf"),
-        "lines-busy")
-    weights = lines.join(busy, "leaf", "left_semi").groupBy("leaf", "form").agg(F.countDistinct("text_key").alias("docs"))
+def templates(docs: DataFrame, lines: DataFrame, busy: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """``(leaf, form, template)`` for the lines of the busy leaves."""
+    weights = lines.groupBy("leaf", "form").agg(F.countDistinct("text_key").alias("docs"))
     words = lines_of(docs).select("leaf", "form", "tokens").join(busy, "leaf", "left_semi").dropDuplicates(["leaf", "form"])
     forms = saved(weights.join(words, ["leaf", "form"]), "lines-forms")
     tokens = forms.select("leaf", "form", "docs", F.posexplode("tokens").alias("at", "token"))
@@ -84,7 +81,12 @@ def recurring_lines(
     docs = keyed(docs)
     lines = saved(
         lines_of(docs).where(F.col("n") >= min_tokens).select("doc_id", "text_key", "pos", "leaf", "form", "beside"), "lines")
-    known = lines.join(templates(docs, lines, min_docs, constant), ["leaf", "form"])
+    # Only lines of leaves that enough texts reach can recur; the others go no further.
+    busy = saved(
+        lines.groupBy("leaf").agg(F.countDistinct("text_key").alias("docs")).where(F.col("docs") >= min_docs).select("leaf"),
+        "lines-busy")
+    lines = saved(lines.join(busy, "leaf", "left_semi"), "lines-in-busy")
+    known = lines.join(templates(docs, lines, busy, min_docs, constant), ["leaf", "form"])
     docs_of = known.groupBy("leaf", "template").agg(F.countDistinct("text_key").alias("docs")).where(F.col("docs") >= min_docs)
     places = known.groupBy("leaf", "template").agg(F.countDistinct("beside").alias("places"))
     recurring = saved(
