@@ -27,6 +27,7 @@ HEADLINE = (
     "top_artists_with_ties", "pages_not_visited", "revenue_per_month", "listings_per_month_for_hosts",
     "listing_table", "bookings_table", "table_profile", "quality_findings",
     "json_by_field_paths", "csv_with_free_text", "partitioned_table", "streamed_upsert",
+    "full_load_row_counts", "full_load_findings", "lodging_load_row_counts",
 )
 
 
