@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import table
+from lakestar.llm.shared import once, table
 
 SHINGLE = 5
 BANDS = 32
@@ -54,11 +54,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(plain, " ", -1), lambda w: w != "")
 
 
-def once(value: Column, use) -> Column:
-    """``use(value)`` with the value as a lambda's variable, so that it is made once however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def shingles_of(text: Column) -> Column:
     """Hashes of the runs of ``SHINGLE`` words, in order."""
     def hashes(words: Column) -> Column:

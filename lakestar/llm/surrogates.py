@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import keyed, same_row, saved, table
+from lakestar.llm.shared import keyed, once, same_row, saved, table
 
 KEY = "surrogate-key"
 ROUNDS = 50
@@ -77,7 +77,8 @@ def canonical(value: Column, kind: Column) -> Column:
 def digest_numbers(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """64 keyed numbers of 0 to 255."""
     drawn = F.sha2(F.concat_ws("|", F.lit(key), kind, value, attempt.cast("string")), 512)
-    return F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.substring(drawn, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+    numbers = lambda x: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.substring(x, i * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+    return once(drawn, numbers)
 
 
 def signs(numbers: Column, value: Column, kept: Column) -> Column:
@@ -93,24 +94,33 @@ def signs(numbers: Column, value: Column, kept: Column) -> Column:
 
 def luhn(digits: Column) -> Column:
     """The sum that a card number's digits leave modulo 10."""
-    back = F.split(F.reverse(digits), "")
-    def add(i: Column) -> Column:
-        d = F.get(back, i).cast("int") * F.when(i % 2 == 1, 2).otherwise(1)
-        return d - F.when(d > 9, 9).otherwise(0)
+    def total(back: Column) -> Column:
+        def add(sum_: Column, i: Column) -> Column:
+            d = F.get(back, i).cast("int") * F.when(i % 2 == 1, 2).otherwise(1)
+            return sum_ + F.when(d > 9, d - 9).otherwise(d)
 
-    return F.aggregate(F.transform(F.sequence(F.lit(0), F.size(back) - 1), add), F.lit(0), lambda a, b: a + b) % 10
+        return F.aggregate(F.sequence(F.lit(0), F.size(back) - 1), F.lit(0), add) % 10
+
+    return once(F.split(F.reverse(digits), ""), total)
 
 
 def draw(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """A surrogate of the canonical form."""
-    numbers = digest_numbers(kind, value, attempt, key)
+    return once(digest_numbers(kind, value, attempt, key), lambda numbers: drawn_from(numbers, kind, value, attempt))
+
+
+def checked(card: Column) -> Column:
+    """A card number with a last digit that makes its sum right."""
+    front = F.substring(card, F.lit(1), F.length(card) - 1)
+    return F.concat(front, ((10 - luhn(F.concat(front, F.lit("0")))) % 10).cast("string"))
+
+
+def drawn_from(numbers: Column, kind: Column, value: Column, attempt: Column) -> Column:
     at = lambda i, n: F.get(numbers, F.lit(i)) % n
     ip = F.concat_ws(".", *((F.get(numbers, F.lit(i)) % 254 + 1).cast("string") for i in range(4)))
     plain = signs(numbers, value, F.lit(0))
     card = signs(numbers, value, F.lit(1))
-    checked = F.concat(F.substring(card, F.lit(1), F.length(card) - 1), F.lit("0"))
-    checked = F.concat(F.substring(card, F.lit(1), F.length(card) - 1), ((10 - luhn(checked)) % 10).cast("string"))
-    card = F.when(luhn(value) == 0, checked).otherwise(card)
+    card = F.when(luhn(value) == 0, once(card, checked)).otherwise(card)
     host = F.length(F.substring_index(value, ".", -1))
     email = F.concat(signs(numbers, F.substring(value, F.lit(1), F.length(value) - host), F.lit(0)), F.substring_index(value, ".", -1))
     def person(script: str, gender: str) -> Column:
