@@ -2,7 +2,7 @@
 
 Entities are found by pattern: e-mail and IP addresses, phone, card, bank and identity numbers, access
 keys and tokens, and names behind a form of address. A surrogate is drawn for the entity's
-canonical form (digits of a number, lower-case address), so all its spellings, in all texts, get
+canonical form (digits of a number, lower-case address or token), so all its spellings, in all texts, get
 one surrogate, which is written in the format of each spelling: digits stay digits, capitals
 capitals, separators stay where they are. Names are drawn from a list of the same gender and
 script. Draws are keyed digests: without the key they can't be undone or repeated.
@@ -34,7 +34,7 @@ TYPES = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "token": r"\b(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}\b",
+    "token": r"\b(?=[0-9A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": r"\b\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}\b",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
@@ -71,7 +71,7 @@ def bare(found: Column, kind: Column) -> Column:
 
 def canonical(value: Column, kind: Column) -> Column:
     return F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(value, "[^0-9]", "")).when(
-        kind == "email", F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(value)
+        kind.isin("email", "token"), F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(value)
 
 
 def digest_numbers(kind: Column, value: Column, attempt: Column, key: str) -> Column:
@@ -81,12 +81,12 @@ def digest_numbers(kind: Column, value: Column, attempt: Column, key: str) -> Co
     return once(drawn, numbers)
 
 
-def signs(numbers: Column, value: Column, kept: Column) -> Column:
-    """Each digit and letter replaced by one of its class, from ``kept`` characters on."""
+def signs(numbers: Column, value: Column, kept: Column, small: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
+    """Each digit and letter replaced by one of its class, from ``kept`` characters on; small letters by one of ``small``."""
     def sign(c: Column, i: Column) -> Column:
         n = F.get(numbers, i % 64) + i * 7
         pick = lambda letters: F.substring(F.lit(letters), n % len(letters) + 1, F.lit(1))
-        return F.when(i < kept, c).when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz")).when(
+        return F.when(i < kept, c).when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick(small)).when(
             c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c)
 
     return F.array_join(F.transform(F.split(value, ""), sign), "")
@@ -136,6 +136,7 @@ def drawn_from(numbers: Column, kind: Column, value: Column, attempt: Column) ->
             name = F.when((kind == gender) & is_script, person(script, gender)).otherwise(name)
     return (
         F.when(kind == "ip", ip).when(kind == "email", email).when(kind == "card", card).when(kind == "key", signs(numbers, value, F.lit(4)))
+        .when(kind == "token", signs(numbers, value, F.lit(0), "abcdef"))
         .when(kind == "iban", signs(numbers, value, F.lit(2))).when(kind == "phone", signs(numbers, value, F.lit(1)))
         .when(kind.isin("male", "female"), name).otherwise(plain))
 
@@ -147,7 +148,9 @@ def formatted(value: Column, kind: Column, surrogate: Column) -> Column:
             surrogate, F.length(F.regexp_replace(F.substring(value, F.lit(1), i + 1), f"(?!{keep}).", "")), F.lit(1))).otherwise(c)), "")
     capital = F.when(value == F.upper(value), F.upper(surrogate)).when(
         F.substring(value, 1, 1).rlike("[A-Z]"), F.initcap(surrogate)).otherwise(surrogate)
-    return F.when(kind.isin("card", "ssn", "phone"), spread("[0-9]")).when(kind == "iban", spread("[A-Z0-9]")).when(
+    cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
+        F.substring(value, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
+    return F.when(kind == "token", cased).when(kind.isin("card", "ssn", "phone"), spread("[0-9]")).when(kind == "iban", spread("[A-Z0-9]")).when(
         kind == "email", capital).when(kind.isin("male", "female") & (value == F.upper(value)) & (F.length(value) > 1), F.upper(surrogate)).otherwise(surrogate)
 
 
