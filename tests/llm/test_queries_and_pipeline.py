@@ -1,5 +1,6 @@
 """Registered text queries against SQL, and the pipeline stage by stage."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 import oracle
-from brute import dropped_lines, jaccard_rows, words
+from brute import dropped_lines, jaccard_rows, shingles, words
 from frames import frame  # noqa: F401
 from lakestar.llm.piece_trie import MODEL_FILE, Encoder, PieceModel
 from lakestar.llm.quality_model import THRESHOLD, score, train
@@ -84,6 +85,34 @@ def test_stages_on_odd_rows(spark, frame, rows):
             docs = spark.createDataFrame(found, docs.schema)
 
 
+def test_near_copies_on_five_words(spark, frame):
+    """Against a brute force of five words and 0.8; some pairs are below 0.9 on three words."""
+    pick = random.Random(8)
+    docs = []
+    for i in range(12):
+        base = [f"w{pick.randint(0, 400)}" for _ in range(120)]
+        docs.append((10 * i, " ".join(base)))
+        for j in range(1, 4):
+            copy = list(base)
+            for _ in range(j):
+                copy[pick.randint(0, 119)] = f"v{pick.randint(0, 99)}"
+            docs.append((10 * i + j, " ".join(copy)))
+    docs += [(500, None), (501, ""), (502, "two words"), (503, "two words")]
+
+    def kept(k, share):
+        sets = [shingles(t, k) for _, t in docs]
+        name = {i: i for i, _ in docs}
+        for (i, _), x in zip(docs, sets, strict=True):
+            for (j, _), y in zip(docs, sets, strict=True):
+                if x and y and len(x & y) >= share * len(x | y) and name[i] != name[j]:
+                    low, high = sorted((name[i], name[j]))
+                    name = {d: low if n == high else n for d, n in name.items()}
+        return sorted(d for d, n in name.items() if d == n)
+
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, frame(docs), SF).collect())
+    assert got == kept(5, 0.8) != kept(3, 0.9)
+
+
 def test_everything_is_registered():
     import __spark_entry__ as entry
 
