@@ -4,8 +4,8 @@ Entities are found by pattern: e-mail and IP addresses, phone, card, bank and id
 keys and tokens, and names behind a form of address. A surrogate is drawn for the entity's
 canonical form (digits of a number, lower-case address or token), so all its spellings, in all texts, get
 one surrogate, which is written in the format of each spelling: digits stay digits, capitals
-capitals, separators stay where they are. Names are drawn from a list of the same gender and
-script. Draws are keyed digests: without the key they can't be undone or repeated.
+capitals, separators stay where they are. Given and family names are drawn by themselves, from lists of
+the same gender and script; a name found behind a form of address is replaced in the rest of its text too. Draws are keyed digests: without the key they can't be undone or repeated.
 
 Collision checks: a surrogate that another entity of its type has, or that is itself an entity
 of the corpus, is drawn again with the next attempt number, for one of the colliding entities all but the
@@ -28,7 +28,10 @@ ROUNDS = 50
 
 MALE = r"(?:Mr|Mister|Sir|Herrn?|Monsieur|Señor|Sr|Г-н|Господин)\b\.?"
 FEMALE = r"(?:Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Г-жа|Госпожа)\b\.?"
-NAME = r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"
+# A possessive ending is not of the name.
+NAME_WORD = r"\p{Lu}(?:\p{L}|['-](?!s\b)(?=\p{L}))+"
+NAME = rf"{NAME_WORD}(?:[ \t]+{NAME_WORD})?"
+PERSON = ("male", "female", "family")
 # Patterns by type, first match first.
 TYPES = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -39,22 +42,26 @@ TYPES = {
     "card": r"\b\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}\b",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}\b|\(\d{3}\) ?\d{3}-\d{4}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
-    "male": rf"\b{MALE} {NAME}",
-    "female": rf"\b{FEMALE} {NAME}",
+    "male": rf"\b{MALE}[ \t]+{NAME}",
+    "female": rf"\b{FEMALE}[ \t]+{NAME}",
 }
 PATTERN = "|".join(TYPES.values())
-MAYBE = rf"[0-9@]|\b{MALE} \p{{Lu}}|\b{FEMALE} \p{{Lu}}"
+MAYBE = rf"[0-9@]|\b{MALE}[ \t]+\p{{Lu}}|\b{FEMALE}[ \t]+\p{{Lu}}"
 # Given and family names by script and gender.
 NAMES = {
     ("latin", "male"): ["Adrian", "Bruno", "Carl", "David", "Emil", "Frank", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Noah", "Oscar", "Paul"],
     ("latin", "female"): ["Anna", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helen", "Irene", "Julia", "Karin", "Laura", "Maria", "Nora", "Olivia", "Paula"],
     ("cyrillic", "male"): ["Алексей", "Борис", "Виктор", "Григорий", "Дмитрий", "Егор", "Иван", "Кирилл", "Леонид", "Максим", "Николай", "Олег", "Павел", "Роман", "Сергей", "Тимур"],
     ("cyrillic", "female"): ["Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина", "Лариса", "Мария", "Надежда", "Ольга", "Полина", "Раиса", "Софья", "Татьяна"],
+    ("greek", "male"): ["Αλέξης", "Βασίλης", "Γιώργος", "Δημήτρης", "Ηλίας", "Θανάσης", "Ιάσονας", "Κώστας", "Λουκάς", "Μιχάλης", "Νίκος", "Ορέστης", "Πέτρος", "Σπύρος", "Τάσος", "Φώτης"],
+    ("greek", "female"): ["Άννα", "Βασιλική", "Γεωργία", "Δήμητρα", "Ελένη", "Ζωή", "Ηρώ", "Θεοδώρα", "Ιωάννα", "Κατερίνα", "Λυδία", "Μαρία", "Νεφέλη", "Ολυμπία", "Σοφία", "Χριστίνα"],
 }
 SYLLABLES = {
     "latin": ["al", "ber", "cor", "dan", "el", "far", "gan", "hol", "in", "jor", "kel", "lan", "mor", "nis", "ol", "per"],
     "cyrillic": ["ал", "бер", "вор", "ган", "дел", "жар", "зан", "кол", "лин", "мор", "нис", "ор", "пер", "ран", "сел", "тор"],
+    "greek": ["αλ", "βερ", "γαν", "δελ", "ζαν", "θελ", "ιν", "κολ", "λαν", "μορ", "νικ", "ορ", "περ", "ραν", "σελ", "τορ"],
 }
+SCRIPTS = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 
 
 def type_of(found: Column) -> Column:
@@ -66,12 +73,13 @@ def type_of(found: Column) -> Column:
 
 def bare(found: Column, kind: Column) -> Column:
     """What is replaced: a name without its form of address, anything else whole."""
-    return F.when(kind.isin("male", "female"), F.regexp_replace(found, rf"^(?:{MALE}|{FEMALE}) ", "")).otherwise(found)
+    return F.when(kind.isin("male", "female"), F.regexp_replace(found, rf"^(?:{MALE}|{FEMALE})[ \t]+", "")).otherwise(found)
 
 
 def canonical(value: Column, kind: Column) -> Column:
     return F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(value, "[^0-9]", "")).when(
-        kind.isin("email", "token"), F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).otherwise(value)
+        kind.isin("email", "token"), F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(
+        kind.isin(*PERSON), F.lower(F.regexp_replace(value, r"[ \t]+", " "))).otherwise(value)
 
 
 def digest_numbers(kind: Column, value: Column, attempt: Column, key: str) -> Column:
@@ -123,22 +131,24 @@ def drawn_from(numbers: Column, kind: Column, value: Column, attempt: Column) ->
     card = F.when(luhn(value) == 0, once(card, checked)).otherwise(card)
     host = F.length(F.substring_index(value, ".", -1))
     email = F.concat(signs(numbers, F.substring(value, F.lit(1), F.length(value) - host), F.lit(0)), F.substring_index(value, ".", -1))
-    def person(script: str, gender: str) -> Column:
-        given = F.element_at(F.array(*map(F.lit, NAMES[script, gender])), at(0, 16) + 1)
-        part = lambda i: F.element_at(F.array(*map(F.lit, SYLLABLES[script])), at(i, 16) + 1)
-        family = F.initcap(F.concat(part(1), part(2), part(3), F.when(attempt > 0, part(4)).otherwise(""), F.when(attempt > 1, part(5)).otherwise("")))
-        return F.when(F.contains(value, F.lit(" ")), F.concat_ws(" ", given, family)).otherwise(family)
-
-    name = F.lit(None).cast("string")
-    for script in ("latin", "cyrillic"):
-        for gender in ("male", "female"):
-            is_script = value.rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~value.rlike(r"\p{IsCyrillic}")
-            name = F.when((kind == gender) & is_script, person(script, gender)).otherwise(name)
+    def part(i: Column, choices: list[str]) -> Column:
+        return F.element_at(F.array(*(F.lit(c.lower()) for c in choices)), F.get(numbers, i) % 16 + 1)
+
+    def given(script: str, gender: str) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.least(attempt, F.lit(7))), lambda i: part(i, NAMES[script, gender])), "-")
+
+    def person(script: str) -> Column:
+        family = F.array_join(F.transform(F.sequence(F.lit(1), 3 + F.least(attempt, F.lit(7))), lambda i: part(i, SYLLABLES[script])), "")
+        return F.when(kind == "male", given(script, "male")).when(kind == "female", given(script, "female")).otherwise(family)
+
+    name = person("latin")
+    for script, letters in SCRIPTS.items():
+        name = F.when(value.rlike(letters), person(script)).otherwise(name)
     return (
         F.when(kind == "ip", ip).when(kind == "email", email).when(kind == "card", card).when(kind == "key", signs(numbers, value, F.lit(4)))
         .when(kind == "token", signs(numbers, value, F.lit(0), "abcdef"))
         .when(kind == "iban", signs(numbers, value, F.lit(2))).when(kind == "phone", signs(numbers, value, F.lit(1)))
-        .when(kind.isin("male", "female"), name).otherwise(plain))
+        .when(kind.isin(*PERSON), name).otherwise(plain))
 
 
 def formatted(value: Column, kind: Column, surrogate: Column) -> Column:
@@ -148,10 +158,12 @@ def formatted(value: Column, kind: Column, surrogate: Column) -> Column:
             surrogate, F.length(F.regexp_replace(F.substring(value, F.lit(1), i + 1), f"(?!{keep}).", "")), F.lit(1))).otherwise(c)), "")
     capital = F.when(value == F.upper(value), F.upper(surrogate)).when(
         F.substring(value, 1, 1).rlike("[A-Z]"), F.initcap(surrogate)).otherwise(surrogate)
+    titled = F.when((value == F.upper(value)) & (F.length(value) > 1), F.upper(surrogate)).otherwise(
+        F.array_join(F.transform(F.split(surrogate, "-"), lambda x: F.initcap(x)), "-"))
     cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
         F.substring(value, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
     return F.when(kind == "token", cased).when(kind.isin("card", "ssn", "phone"), spread("[0-9]")).when(kind == "iban", spread("[A-Z0-9]")).when(
-        kind == "email", capital).when(kind.isin("male", "female") & (value == F.upper(value)) & (F.length(value) > 1), F.upper(surrogate)).otherwise(surrogate)
+        kind == "email", capital).when(kind.isin(*PERSON), titled).otherwise(surrogate)
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
@@ -172,27 +184,85 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {ROUNDS} draws; a type has too few of them")
 
 
+def is_name(kind: Column) -> Column:
+    return kind.isin("male", "female")
+
+
+def entities_of(found: Column) -> Column:
+    """Per entity: found, spelled, and the one or two parts (kind, value, spelled) that get surrogates.
+
+    A name of two words is a given and a family name. One word is a family name, unless the text has
+    it as a given name only.
+    """
+    typed = F.transform(found, lambda f: F.struct(f.alias("found"), type_of(f).alias("kind")))
+    named_ = F.transform(typed, lambda e: F.struct(
+        e["found"].alias("found"), e["kind"].alias("kind"), bare(e["found"], e["kind"]).alias("spelled"),
+        canonical(bare(e["found"], e["kind"]), e["kind"]).alias("value")))
+
+    def parts(all_: Column) -> Column:
+        whole = F.filter(all_, lambda e: is_name(e["kind"]) & F.contains(e["value"], F.lit(" ")))
+        words = lambda i: F.transform(whole, lambda e: F.substring_index(e["value"], " ", i))
+
+        def split_up(e: Column) -> Column:
+            def part(kind: Column, i: int) -> Column:
+                return F.struct(kind.alias("kind"), F.substring_index(e["value"], " ", i).alias("value"),
+                                F.regexp_extract(e["spelled"], r"^[^ \t]+" if i > 0 else r"[^ \t]+$", 0).alias("spelled"))
+
+            alone = F.when(F.array_contains(words(1), e["value"]) & ~F.array_contains(words(-1), e["value"]), e["kind"]).otherwise(F.lit("family"))
+            same = F.struct(e["kind"].alias("kind"), e["value"].alias("value"), e["spelled"].alias("spelled"))
+            return F.when(~is_name(e["kind"]) | e["kind"].isNull(), F.array(same)).when(
+                F.contains(e["value"], F.lit(" ")), F.array(part(e["kind"], 1), part(F.lit("family"), -1))).otherwise(
+                F.array(part(alone, 1)))
+
+        return F.transform(all_, lambda e: F.struct(e["found"].alias("found"), e["spelled"].alias("spelled"), split_up(e).alias("parts")))
+
+    return once(named_, parts)
+
+
+def mentions(gap: Column, pattern: Column, names: Column) -> Column:
+    """The names of a text that stand in a stretch of it without a form of address, replaced."""
+    def put(word: Column) -> Column:
+        known = F.get(F.filter(names, lambda n: n["word"] == F.lower(word)), F.lit(0))
+        return formatted(word, F.lit("family"), known["surrogate"])
+
+    found = F.regexp_extract_all(gap, pattern, F.lit(0))
+    return F.array_join(F.transform(F.split(gap, pattern, -1), lambda g, i: F.concat(
+        g, F.coalesce(F.get(F.transform(found, put), i), F.lit("")))), "")
+
+
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """doc_id, n_entities, text: a row per input row."""
+    """doc_id, n_entities, text: a row per input row. A name counts where it is mentioned without a form of address too."""
     docs = keyed(docs)
     hit = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
     rest = docs.where(~hit).select("doc_id", F.lit(0).cast("long").alias("n_entities"), "text")
     listed = docs.where(hit).withColumn("found", F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    spots = listed.select("doc_id", "text_key", F.posexplode("found").alias("at", "found")).distinct().withColumn(
-        "kind", type_of(F.col("found"))).withColumn("spelled", bare(F.col("found"), F.col("kind")))
-    spots = saved(spots.withColumn("value", canonical(F.col("spelled"), F.col("kind"))), "pii-spots")
+    ents = listed.select("doc_id", "text_key", F.posexplode(entities_of(F.col("found"))).alias("at", "e")).select(
+        "doc_id", "text_key", "at", "e.found", F.col("e.spelled").alias("whole"), F.posexplode("e.parts").alias("part", "p"))
+    spots = saved(ents.select("doc_id", "text_key", "at", "part", "found", "whole", "p.kind", "p.value", "p.spelled").distinct(), "pii-spots")
     table_ = surrogate_table(spots.where("kind IS NOT NULL").select("kind", "value"), key)
-    front = F.substring("found", F.lit(1), F.length("found") - F.length("spelled"))
+    # The form of address stays before the first word of a name, the space before the second.
+    front = F.when(F.col("part") == 0, F.substring("found", F.lit(1), F.length("found") - F.length("whole"))).otherwise(
+        F.regexp_extract("whole", r"[ \t]+", 0))
     written = spots.join(table_, ["kind", "value"], "left").select(
-        "doc_id", "text_key", "at",
+        "doc_id", "text_key", "at", "part", F.col("kind").isin(*PERSON).alias("person"),
+        F.struct(F.col("value").alias("word"), (F.col("kind") != "family").alias("given"), "surrogate").alias("name"),
         F.when(F.col("surrogate").isNull(), F.col("found")).otherwise(F.concat(front, formatted(F.col("spelled"), F.col("kind"), F.col("surrogate")))).alias("put"))
-    puts = written.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("at", "put"))).alias("puts"))
+    spot = F.struct("at", "put")
+    puts = written.groupBy("doc_id", "text_key").agg(
+        F.sort_array(F.collect_list(F.when(F.col("part") == 0, spot))).alias("puts"),
+        F.map_from_entries(F.collect_list(F.when(F.col("part") == 1, spot))).alias("seconds"),
+        F.sort_array(F.collect_set(F.when(F.col("person"), F.col("name")))).alias("names"))
     texts = docs.where(hit)
-    joined = texts.join(puts, same_row(texts, puts), "left").select(texts["doc_id"], "text", "puts")
-    gaps = F.split("text", PATTERN, -1)
-    rebuilt = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get("puts.put", i), F.lit("")))), "")
+    joined = texts.join(puts, same_row(texts, puts), "left").select(texts["doc_id"], "text", "puts", "seconds", "names")
+    # Longer names first; a mention begins with a capital, whatever the case of the rest.
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:"), F.array_join(F.sort_array("names.word", asc=False), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    joined = joined.withColumn("pattern", pattern).withColumn("gaps", F.split("text", PATTERN, -1))
+    bare_ = F.when(F.size("names") > 0, F.transform("gaps", lambda g: mentions(g, F.col("pattern"), F.col("names")))).otherwise(F.col("gaps"))
+    more = F.when(F.size("names") > 0, F.aggregate("gaps", F.lit(0), lambda n, g: n + F.size(F.regexp_extract_all(g, F.col("pattern"), F.lit(0))))).otherwise(0)
+    rebuilt = F.array_join(F.transform(bare_, lambda g, i: F.concat(
+        g, F.coalesce(F.get("puts.put", i), F.lit("")), F.coalesce(F.try_element_at("seconds", i), F.lit("")))), "")
     changed = joined.select(
-        "doc_id", F.coalesce(F.size("puts"), F.lit(0)).cast("long").alias("n_entities"),
+        "doc_id", (F.coalesce(F.size("puts"), F.lit(0)) + F.coalesce(more, F.lit(0))).cast("long").alias("n_entities"),
         F.when(F.col("puts").isNull(), F.col("text")).otherwise(rebuilt).alias("text"))
     return rest.unionByName(changed)
 

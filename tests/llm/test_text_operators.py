@@ -216,3 +216,20 @@ def test_surrogates_keep_their_type(frame):
     for i, kind in list(enumerate(kinds))[1:]:
         assert got[i]["text"] != texts[i] and re.fullmatch(TYPES[kind], got[i]["text"]), kind
     assert all(re.fullmatch(TYPES["token"], x) for x in (low, high, both))
+
+
+def test_names_are_followed_through_a_text(frame):
+    docs = [
+        (1, "Mr John Smith, Mr JOHN  SMITH, Mr Smith's dog and Mister Smith. Then John Smith left; SMITH, Smith-led, a smith and Smithson stay. Mr John came."),
+        (2, "Mrs Smith wrote to Mr Peter O'Brien. O'Brien replied to ann@example.com."), (3, "Smith and John are not known here. 1"),
+        (4, "Mr Παπαδόπουλος and Παπαδόπουλος")]
+    got = {r["doc_id"]: (r["n_entities"], r["text"]) for r in replace_entities(frame(docs + ODD)).collect() if r["doc_id"] in (1, 2, 3, 4)}
+    found = re.fullmatch(
+        r"Mr (\w+) (\w+), Mr (\w+)  (\w+), Mr (\w+)'s dog and Mister (\w+)\. Then (\w+) (\w+) left; (\w+), (\w+)-led, a smith and Smithson stay\. Mr (\w+) came\.",
+        got[1][1])
+    given, family = found[1], found[2]
+    assert given != "John" and family != "Smith"
+    assert found.groups()[2:] == (given.upper(), family.upper(), family, family, given, family, family.upper(), family, given)
+    assert got[1][0] == 9
+    assert got[2][1].startswith(f"Mrs {family} wrote to Mr ") and "O'Brien" not in got[2][1] and got[3] == (0, docs[2][1])
+    assert re.fullmatch(r"Mr ([Α-ώ]+) and \1", got[4][1]) and "Παπα" not in got[4][1]
