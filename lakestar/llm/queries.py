@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from lakestar.llm import (
-    curriculum, jaccard_join, license_scan, line_dedup, piece_trie, quality_model, quality_rules, substring_dedup, surrogates, topk_search,
+    curriculum, fill_middle, importance, jaccard_join, license_scan, line_dedup, piece_trie, quality_model, quality_rules, simhash_index,
+    substring_dedup, surrogates, topk_search,
 )
 
 QUERIES = {
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_source_mix": curriculum.op9_source_mix,
     "op10_sentencepiece": piece_trie.op10_sentencepiece,
+    "op11_simhash_near_dedup": simhash_index.op11_simhash_near_dedup,
+    "op12_fill_middle": fill_middle.op12_fill_middle,
+    "op13_importance_resampling": importance.op13_importance_resampling,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.OP1_SQL,
@@ -26,4 +30,6 @@ ORACLES = {
     "op6_quality_rules": quality_rules.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op9_source_mix": curriculum.OP9_SQL,
+    "op12_fill_middle": fill_middle.OP12_SQL,
+    "op13_importance_resampling": importance.OP13_SQL,
 }

@@ -122,3 +122,25 @@ def pieces(column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES) -> I
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values and the length of each list."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, kind))
+
+
+def word_runs(text: bytes, limit: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """The words of a text in order, those of about ``limit`` bytes at a time."""
+    open_: list[bytes] = []  # pieces of a word that may go on
+    for at in range(0, len(text), limit):
+        run = text[at:at + limit]
+        words = run.split()
+        if open_ and not GAP[run[0]]:
+            open_.append(words.pop(0))
+            if words or GAP[run[-1]]:
+                words.insert(0, b"".join(open_))
+                open_ = []
+        elif open_:
+            words.insert(0, b"".join(open_))
+            open_ = []
+        if not open_ and not GAP[run[-1]] and at + limit < len(text):
+            open_ = [words.pop()]
+        if words:
+            yield words
+    if open_:
+        yield [b"".join(open_)]
