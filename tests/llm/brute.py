@@ -40,8 +40,8 @@ def shingles(text, k=3):
     return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if len(w) >= k else frozenset([tuple(w)])
 
 
-def jaccard_rows(docs, share=(90, 100)):
-    sets = [shingles(t) for _, t in docs]
+def jaccard_rows(docs, k=3, share=(90, 100)):
+    sets = [shingles(t, k) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(i):
@@ -93,40 +93,70 @@ def kept_by_rules(text):
                 or 2 * capitals > n or 100 * max(Counter(w).values()) > 30 * n)
 
 
-def dropped_lines(docs, min_docs=10, min_tokens=3, constant=0.8, spread=0.5, lead=3):
+def template_of_lines(forms, min_docs, constant):
+    """The template of each line form; ``forms`` maps a tuple of tokens to the number of its texts."""
+    def mask(form):
+        return ["<*>" if re.search("[0-9]", t) else t for t in form]
+
+    weight, members, ways = Counter(), defaultdict(set), {}
+    for form, texts in forms.items():
+        if len(form) > 3:
+            lead = mask(form)[:3]
+            own = [(len(form), *("<*>" if i == j else t for i, t in enumerate(lead))) for j in (None, 0, 1, 2)]
+            ways[form] = list(dict.fromkeys(own))
+            for path in ways[form]:
+                weight[path] += texts
+                members[path].add(form)
+    leaf = {}
+    for form, own in ways.items():
+        busy = [p for p in own if weight[p] >= min_docs and len(members[p]) > 1]
+        if busy:
+            leaf[form] = own[0] if busy[0] == own[0] else max(busy, key=lambda p: weight[p])
+    often = Counter()
+    for form, path in leaf.items():
+        for i, t in enumerate(mask(form)):
+            often[path, i, t] += forms[form]
+    out = {}
+    for form in forms:
+        fields = [t if t != "<*>" and form in leaf and often[leaf[form], i, t] >= min_docs else None for i, t in enumerate(mask(form))]
+        enough = form in leaf and sum(f is not None for f in fields) >= constant * len(form)
+        out[form] = ("tree", leaf[form], tuple(fields)) if enough else ("own", form)
+    return out
+
+
+def dropped_lines(docs, min_docs=10, repeated=100, constant=0.7, copied=0.75, edge=8):
     """Per row: lines, dropped lines, kept text."""
-    rows = []
-    for key in set(docs):
-        tokens = [["<*>" if re.search("[0-9]", x) else x for x in words(line)] for line in (key[1].split("\n") if key[1] is not None else [])]
-        heads = [" ".join(t[:lead]) for t in tokens]
-        rows += [(key, i, (len(t), heads[i]), tuple(t), (heads[i - 1] if i else None, heads[i + 1] if i + 1 < len(heads) else None))
-                 for i, t in enumerate(tokens) if len(t) >= min_tokens]
-    leaf_docs, form_docs = defaultdict(set), defaultdict(set)
-    for key, _, leaf, form, _ in rows:
-        leaf_docs[leaf].add(key[1])
-        form_docs[leaf, form].add(key[1])
-    weight = Counter()
-    for (leaf, form), texts in form_docs.items():
-        for i, token in enumerate(form):
-            weight[leaf, i, token] += len(texts)
-
-    def template(leaf, form):
-        fields = tuple(x if weight[leaf, i, x] >= min_docs else "<*>" for i, x in enumerate(form))
-        return fields if sum(weight[leaf, i, x] >= min_docs for i, x in enumerate(form)) >= constant * len(form) else form
-
-    texts, places, known = defaultdict(set), defaultdict(set), []
-    for key, i, leaf, form, beside in rows:
-        if len(leaf_docs[leaf]) >= min_docs:
-            t = (leaf, template(leaf, form))
-            texts[t].add(key[1])
-            places[t].add(beside)
-            known.append((key, i, t))
-    gone = {(key, i) for key, i, t in known if len(texts[t]) >= min_docs and len(places[t]) >= spread * len(texts[t])}
+    texts = {t: [(i, tuple(words(x))) for i, x in enumerate(t.split("\n")) if words(x)] for t in {t for _, t in docs if t is not None}}
+    forms = Counter(f for rows in texts.values() for f in {f for _, f in rows})
+    template = template_of_lines(forms, min_docs, constant)
+
+    def needed(n):
+        return max(2, min(min_docs, math.ceil(repeated / n)))
+
+    stands, size = defaultdict(set), {}
+    for t, rows in texts.items():
+        for _, f in rows:
+            stands[template[f]].add(t)
+            size[template[f]] = len(f)
+    held = {k: v for k, v in stands.items() if len(v) >= needed(size[k])}
+    near = set().union(*held.values())
+    shown = {f: tuple("<*>" if re.search("[0-9]", x) else x for x in f) for f in forms}
+    ends = Counter(e for t in near for e in {e for _, f in texts[t] for e in (("head", shown[f][:edge]), ("tail", shown[f][-edge:]))})
+    votes = Counter()
+    for key, where in held.items():
+        for t in where:
+            beside = 0
+            for _, f in texts[t]:
+                common = max(ends["head", shown[f][:edge]], ends["tail", shown[f][-edge:]])
+                if common > 1 and common.bit_length() >= len(where).bit_length() - 1:
+                    beside += len(f)
+            votes[key] += beside < copied * sum(len(f) for _, f in texts[t])
+    gone = {t: {i for i, f in rows if votes[template[f]] >= needed(len(f))} for t, rows in texts.items()}
     out = []
-    for key in docs:
-        lines = key[1].split("\n") if key[1] is not None else []
-        kept = [x for i, x in enumerate(lines) if (key, i) not in gone]
-        out.append((key[0], len(lines), len(lines) - len(kept), "\n".join(kept) if key[1] is not None else None))
+    for doc_id, text in docs:
+        lines = text.split("\n") if text is not None else []
+        kept = [x for i, x in enumerate(lines) if i not in gone[text]]
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept) if text is not None else None))
     return out
 
 

@@ -55,7 +55,7 @@ def test_stages(spark, tmp_path):
     expected = [(i, t) for i, _, n, t in dropped_lines(rows["line dedup"]) if not n or t.strip(" ")]
     assert sorted(rows["n-gram Jaccard join"]) == sorted(expected)
 
-    keep = {i for i, n, c in jaccard_rows(rows["n-gram Jaccard join"]) if i == c or not n}
+    keep = {i for i, n, c in jaccard_rows(rows["n-gram Jaccard join"], 5, (80, 100)) if i == c or not n}
     assert sorted(rows["source mix"]) == sorted(r for r in rows["n-gram Jaccard join"] if r[0] in keep)
 
     times = Counter(i for i, _ in rows["piece ids"])

@@ -84,11 +84,22 @@ def test_one_row_stands_for_a_component(frame):
     assert collected(got, "doc_id") == [(3,), (3,), (8,), (9,)]
 
 
+def prose(pick, n, tokens=12):
+    return [" ".join(f"{pick.choice('pqrstu')}{pick.choice('abcdefghijk')}{pick.choice('xyz')}{pick.randint(0, 999):b}".replace("1", "l").replace("0", "o") for _ in range(tokens))
+            for _ in range(n)]
+
+
+def lines_dropped(frame, docs):
+    got = collected(drop_recurring_lines(frame(docs)), "doc_id", "n_lines", "n_dropped", "kept_text")
+    assert got == sorted(dropped_lines(docs), key=repr)
+    return {r[0]: r for r in got}
+
+
 def test_recurring_lines(frame):
     pick = random.Random(4)
     docs = []
     for i in range(40):
-        lines = [" ".join(f"{c}{pick.choice('abcdefghijk')}{pick.choice('xyz')}" for c in "pqrstu") for _ in range(3)]
+        lines = prose(pick, 3)
         if i % 2:
             lines.insert(pick.randint(0, 3), "Subscribe to our letter now")
         if i % 3 == 0:
@@ -98,14 +109,67 @@ def test_recurring_lines(frame):
         docs.append((i, "\n".join(lines)))
     docs += [(100 + i, "first copied line here\nsecond copied line here\nthird copied line here" + f"\nend {i} of it all") for i in range(15)]
     docs += ODD + [(500, "\n\n"), (501, "Subscribe to our letter now"), (501, "Subscribe to our letter now")]
-    got = collected(drop_recurring_lines(frame(docs)), "doc_id", "n_lines", "n_dropped", "kept_text")
-    assert got == sorted(dropped_lines(docs), key=repr)
-    by_id = {r[0]: r for r in got}
+    by_id = lines_dropped(frame, docs)
     assert all("Subscribe" not in by_id[i][3] and "Posted" not in by_id[i][3] and "archive" not in by_id[i][3] for i in range(40))
     assert "second copied line here" in by_id[103][3]
     assert drop_recurring_lines(frame([])).count() == 0
 
 
+def test_lines_of_numbers_stay(frame):
+    pick = random.Random(11)
+    docs = [(i, "\n".join(" ".join(str(pick.randint(0, 10**6)) for _ in range(6)) for _ in range(2))) for i in range(300)]
+    docs += [(1000 + i, f"{pick.randint(0, 10**6)} apples\n" + "\n".join(prose(pick, 2))) for i in range(50)]
+    assert all(r[2] == 0 for r in lines_dropped(frame, docs).values())
+
+
+@pytest.mark.parametrize("lines", [["", "Subscribe to our letter", ""], ["one line of a menu", "another line of it", "and a third", "the fourth and last"], ["Read more"]])
+def test_boilerplate_goes(frame, lines):
+    """Between blank lines, in a block, and of two tokens."""
+    pick = random.Random(12)
+    docs = []
+    for i in range(60):
+        own = prose(pick, 4)
+        at = pick.randint(0, 4)
+        docs.append((i, "\n".join(own[:at] + lines + own[at:])))
+    assert {r[2] for r in lines_dropped(frame, docs).values()} == {sum(x != "" for x in lines)}
+
+
+@pytest.mark.parametrize("place", range(7))
+def test_any_token_may_vary(frame, place):
+    pick = random.Random(13)
+    docs = []
+    for i in range(200):
+        tokens = "Posted by somebody in the travel section".split()
+        tokens[place] = f"{pick.choice('abcdefghij')}{pick.choice('klmnopqrst')}{pick.choice('uvwxyz')}"
+        docs.append((i, "\n".join([*prose(pick, 2), " ".join(tokens), *prose(pick, 1)])))
+    assert {r[2] for r in lines_dropped(frame, docs).values()} == {1}
+
+
+def test_long_lines_in_few_texts(frame):
+    pick = random.Random(14)
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    docs = [(i, "\n".join(prose(pick, 10) + ([passage] if i < 9 else []) + (["short one"] if i < 9 else []))) for i in range(30)]
+    assert [r[2] for _, r in sorted(lines_dropped(frame, docs).items())] == [1] * 9 + [0] * 21
+
+
+def test_copies_keep_their_lines(frame):
+    """Exact copies, and near copies with a changed word every few lines, are no boilerplate; what all pages carry still goes from them."""
+    pick = random.Random(15)
+    base = prose(pick, 12)
+    docs = []
+    for i in range(40):
+        lines = [x.split() for x in base]
+        for _ in range(4):
+            line = pick.choice(lines)
+            line[pick.randrange(len(line))] = f"changed{chr(97 + i % 26)}"
+        docs.append((i, "\n".join([*map(" ".join, lines), *(["Subscribe to our letter"] if i % 2 else [])])))
+    docs += [(100 + i, "\n".join(base)) for i in range(20)]
+    docs += [(200 + i, "\n".join([*prose(pick, 5), "Subscribe to our letter"])) for i in range(60)]
+    by_id = lines_dropped(frame, docs)
+    assert [by_id[i][2] for i in range(40)] == [i % 2 for i in range(40)]
+    assert {by_id[100 + i][2] for i in range(20)} == {0} and {by_id[200 + i][2] for i in range(60)} == {1}
+
+
 def test_source_mix(frame):
     docs = [(i, " ".join("w" for _ in range(1 + i * 7 % 50)), s) for i, s in enumerate(["a", "b", "c", None, "d"] * 20)]
     docs += [(1000, " ".join("w" for _ in range(3000)), "b"), (1001, None, "a"), (1002, "", "e"), (1003, "x y", "e"), (1003, "x y", "e"), (None, "q", "f")]
