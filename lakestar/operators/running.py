@@ -58,7 +58,8 @@ def running_sum(
     the order total. ``value`` must be of a whole-number type: sums of fractions would
     depend on the slices. NULL values count as in Spark's own window: they are
     left out, and the sum is NULL until the first value. ``bucket`` is the width of a
-    bucket of the order column; rows of one bucket stay in one slice.
+    bucket of the order column; rows of one bucket stay in one slice. The order column must be a
+    number, date or time.
     """
     if frame == "rows" and not tiebreak:
         raise ValueError("a rows frame needs tiebreak columns, or the result depends on row order")
@@ -68,17 +69,17 @@ def running_sum(
     if not (isinstance(kind, WHOLE) or isinstance(kind, T.DecimalType) and kind.scale == 0):
         raise TypeError(f"a running sum needs whole numbers, not {kind.simpleString()}")
     direction = F.desc if descending else F.asc
-    if isinstance(rows.schema["__pos"].dataType, T.NumericType):
-        # NULL positions sort below all others, in either direction.
-        number = F.coalesce(F.floor(F.col("__pos") / F.lit(bucket or width)).cast("bigint"), F.lit(LOWEST))
-    else:
-        number = F.lit(0).cast("bigint")
+    if not isinstance(rows.schema["__pos"].dataType, T.NumericType):
+        raise TypeError(f"{order} cannot be cut into slices: {rows.schema['__pos'].dataType.simpleString()}")
+    # NULL positions sort below all others, in either direction.
+    number = F.coalesce(F.floor(F.col("__pos") / F.lit(bucket or width)).cast("bigint"), F.lit(LOWEST))
     rows = rows.withColumn("__bucket", number)
 
     slices = _slices(rows, key, direction, hot_rows).withColumnsRenamed({k: f"__k{i}" for i, k in enumerate(key)})
     mine = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)]
-    # At most two slices for each piece of the log that ``hot_limit`` allows, so this table is bounded.
-    placed = rows.join(F.broadcast(slices), [*mine, F.col("__bucket").between(F.col("__low"), F.col("__high"))], "left")
+    # At most two slices for each piece of the log that ``hot_limit`` allows by default, so this table is bounded.
+    side = F.broadcast(slices) if hot_rows is None else slices
+    placed = rows.join(side, [*mine, F.col("__bucket").between(F.col("__low"), F.col("__high"))], "left")
 
     within = Window.partitionBy(*key, "__slice")
     if frame == "rows":

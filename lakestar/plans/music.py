@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from lakestar import contracts as c
 from lakestar.functions.keys import hash_key
 from lakestar.functions.timeparts import calendar_fields, from_epoch_millis, from_epoch_millis_whole_seconds
+from lakestar.operators.asof import as_of_join, interval_history
 from lakestar.operators.lookup import natural_key_join
 from lakestar.operators.skew import skewed_join
+from lakestar.operators.tolerant import tolerant_key_join
 from lakestar.operators.upsert import first_write_wins, last_write_wins, to_state
 
 # Fixed value: the page that stands for a played song.
@@ -75,6 +77,25 @@ def user_state(events: DataFrame, order: list[str] | None = None) -> DataFrame:
     return to_state(known_plays(events), ["user_id"], order or ["ts"], USER_FIRST, USER_LAST)
 
 
+EVENT_ORDER = ["session_id", "item_in_session"]
+
+
+def level_history(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """One row per change of a user's level: user_id, level, valid_from and valid_to (epoch milliseconds; NULL while it lasts)."""
+    return interval_history(known_plays(events), ["user_id"], "ts", "level", EVENT_ORDER, hot_rows)
+
+
+def with_level_at_event(rows: DataFrame, changes: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Rows ``(user_id, ts, ...)`` with ``level_then``, the level their user had at that moment.
+
+    ``changes`` is a history or any log with user_id, level and a time, ``valid_from`` or ``ts``.
+    """
+    at = "valid_from" if "valid_from" in changes.columns else "ts"
+    tiebreak = [c for c in EVENT_ORDER if c in changes.columns]
+    known = changes.where(F.col("level").isNotNull()).withColumnRenamed("level", "level_then")
+    return as_of_join(rows, known, ["user_id"], ("ts", at), ["level_then"], tiebreak, hot_rows)
+
+
 def time_dimension(events: DataFrame, resolution: str = "millis", convention: str = "sunday1") -> DataFrame:
     """One row per start time of a play, with its calendar fields.
 
@@ -92,20 +113,26 @@ def start_time(resolution: str = "millis") -> Column:
 def songplays(
     events: DataFrame, staging_songs: DataFrame, how: str = "left", ambiguous: str = "all",
     resolution: str = "millis", distinct: bool = False, salt: bool = False, hot_rows: int | None = None,
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), tolerance: tuple[int, float] | None = None,
 ) -> DataFrame:
     """The fact table: plays with the ids of the song and artist they match.
 
     ``how`` keeps (``left``) or drops (``inner``) plays without a match;
     ``ambiguous="first"`` gives each play at most one match; ``distinct`` collapses
     plays that differ in none of the output columns; ``keep`` names event columns to carry along.
+    ``tolerance`` (edits of title and artist together, seconds) gives each play the nearest
+    match within it, one at most, whatever ``ambiguous`` says.
     """
     log = plays(events).select(
         start_time(resolution).alias("start_time"), "user_id", "level", "session_id", "item_in_session",
         "location", "user_agent", *NATURAL_KEY, *keep,
     )
     ids = ["song_id", "artist_id"]
-    joined = natural_key_join(log, staging_songs, NATURAL_KEY, ids, how, ambiguous, salt, hot_rows)
+    if tolerance is None:
+        joined = natural_key_join(log, staging_songs, NATURAL_KEY, ids, how, ambiguous, salt, hot_rows)
+    else:
+        texts = {"song": NATURAL_KEY["song"], "artist": NATURAL_KEY["artist"]}
+        joined = tolerant_key_join(log, staging_songs, texts, ("length", NATURAL_KEY["length"]), ids, *tolerance, how, salt, hot_rows)
     columns = ["start_time", "user_id", "level", *ids, "session_id", "location", "user_agent", *keep]
     if distinct:
         facts = joined.select(*columns).distinct()

@@ -28,11 +28,11 @@ FOLD_EVERY = 20
 
 
 def read_if_there(spark: SparkSession, root: str) -> DataFrame | None:
-    """A stored parquet table, or None before its first write."""
+    """A stored parquet table, or None before its first row: a batch without rows leaves a folder without files."""
     try:
         return spark.read.parquet(root)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
@@ -106,8 +106,12 @@ def append_batch(facts: DataFrame, root: str, batch: str, partition_by: tuple[st
     _write_batch(facts, root, batch, partition_by)
 
 
-def read_batches(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).drop("batch")
+def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows of the batches; with a declared schema, no rows before the first one."""
+    stored = read_if_there(spark, root)
+    if stored is None and schema is not None:
+        return spark.createDataFrame([], schema)
+    return (spark.read.parquet(root) if stored is None else stored).drop("batch")
 
 
 def file_stream(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestar import contracts as c
 from lakestar.functions.keys import hash_key
 from lakestar.functions.timeparts import calendar_fields
-from lakestar.operators.upsert import last_write_wins
+from lakestar.operators.upsert import first_write_wins
 from lakestar.plans import music
 from lakestar.streaming.incremental import DeltaLog, append_batch, ingest_available, read_batches
 
@@ -16,6 +17,9 @@ from lakestar.streaming.incremental import DeltaLog, append_batch, ingest_availa
 SONG_VALUES = ("title", "artist_id", "year", "duration", "artist_name", "artist_location", "artist_latitude",
                "artist_longitude")
 ARTIST_VALUES = ("name", "location", "latitude", "longitude")
+# What a fact needs of a play.
+HEARD = T.StructType([f for f in c.STAGING_EVENTS.schema if f.name in (
+    "ts", "page", "user_id", "level", "session_id", "item_in_session", "location", "user_agent", *music.NATURAL_KEY)]).add("event", "string")
 
 
 class StarStream:
@@ -23,9 +27,10 @@ class StarStream:
 
     Songs and artists keep their most complete row, start times what was seen first;
     users keep their first names and their latest level. Facts look up the songs known
-    when their batch runs; before the first song file they have none. Events sent again
-    do not double their facts: of the rows of an event the one with a song wins, so
-    sending events again after their songs also completes them.
+    when their batch runs. Plays are kept beside them, and a batch of songs looks up the plays of its
+    natural keys again, so a song that comes late completes the facts before it, whatever the order of the files.
+    Events sent again do not double their facts: of the rows of an event the one with the smallest
+    song wins, as in the batch load. Files without rows, and events without plays, leave the tables as they are.
     """
 
     def __init__(self, root: str, commits: str = "commits"):
@@ -52,6 +57,9 @@ class StarStream:
             self.song_log.append(rows.withColumn("gaps", gaps), batch)
             artists = music.artist_rows(rows)
             self.artist_log.append(artists.withColumn("gaps", music.gaps(artists.columns)), batch)
+            new = rows.select(*[F.col(theirs).alias(ours) for ours, theirs in music.NATURAL_KEY.items()])
+            heard = read_batches(songs.sparkSession, f"{self.root}/heard", HEARD)
+            self._append_facts(heard.join(new, list(music.NATURAL_KEY), "left_semi"), f"{batch}-songs")
         finally:
             rows.unpersist()
 
@@ -61,30 +69,37 @@ class StarStream:
             starts = plays.select(music.start_time().alias("start_time"))
             self.time_log.append(starts.withColumns(calendar_fields(F.col("start_time"))), batch)
             self.user_log.append(music.known_plays(plays), batch)
-            event = hash_key("session_id", "ts", "item_in_session", "user_id")
-            facts = music.songplays(
-                plays.withColumn("event", event), self.catalogue(events.sparkSession), "left", "first", keep=("event",))
-            append_batch(facts, f"{self.root}/songplays", batch, c.SONGPLAYS.partition_by)
+            heard = plays.withColumn("event", hash_key("session_id", "ts", "item_in_session", "user_id")).select(*HEARD.fieldNames())
+            append_batch(heard, f"{self.root}/heard", batch)
+            self._append_facts(heard, batch)
         finally:
             plays.unpersist()
 
+    def _append_facts(self, heard: DataFrame, batch: str) -> None:
+        facts = music.songplays(heard, self.catalogue(heard.sparkSession), "left", "first", keep=("event",))
+        append_batch(facts, f"{self.root}/songplays", batch, c.SONGPLAYS.partition_by)
+
     def catalogue(self, spark: SparkSession) -> DataFrame:
         known = self.song_log.read(spark)
         return known if known is not None else spark.createDataFrame([], c.STAGING_SONGS.schema)
 
     def songplays(self, spark: SparkSession) -> DataFrame:
-        facts = read_batches(spark, f"{self.root}/songplays")
-        found = facts.withColumn("found", F.col("song_id").isNotNull())
-        return c.conform(last_write_wins(found, ["event"], ["found"]), c.SONGPLAYS)
+        facts = read_batches(spark, f"{self.root}/songplays", T.StructType([*c.SONGPLAYS.schema.fields, T.StructField("event", T.StringType())]))
+        missing = facts.withColumn("missing", F.col("song_id").isNull())
+        return c.conform(first_write_wins(missing, ["event"], ["missing", "song_id", "artist_id"]), c.SONGPLAYS)
+
+    def _table(self, spark: SparkSession, log: DeltaLog, contract: c.Contract) -> DataFrame:
+        known = log.read(spark)
+        return c.conform(known, contract) if known is not None else spark.createDataFrame([], contract.schema)
 
     def users(self, spark: SparkSession) -> DataFrame:
-        return c.conform(self.user_log.read(spark), c.USERS)
+        return self._table(spark, self.user_log, c.USERS)
 
     def time(self, spark: SparkSession) -> DataFrame:
-        return c.conform(self.time_log.read(spark), c.TIME)
+        return self._table(spark, self.time_log, c.TIME)
 
     def songs(self, spark: SparkSession) -> DataFrame:
         return music.songs(self.catalogue(spark))
 
     def artists(self, spark: SparkSession) -> DataFrame:
-        return c.conform(self.artist_log.read(spark), c.ARTISTS)
+        return self._table(spark, self.artist_log, c.ARTISTS)
