@@ -7,9 +7,14 @@ one surrogate, which is written in the format of each spelling: digits stay digi
 capitals, separators stay where they are. Given and family names are drawn by themselves, from lists of
 the same gender and script; a name found behind a form of address is replaced in the rest of its text too. Draws are keyed digests: without the key they can't be undone or repeated.
 
+Numbers keep right check digits: cards, and bank numbers by their remainder. Names of over 64 letters, local parts of over 64 signs,
+dates of birth and street addresses are left. Patterns repeat within bounds or possessively, so a text of one long run takes
+linear time and no stack.
+
 Collision checks: a surrogate that another entity of its type has, or that is itself an entity
 of the corpus, is drawn again with the next attempt number, for one of the colliding entities all but the
-smallest, until none collides. So different entities stay different.
+smallest, until none collides. So different entities stay different. A draw that collides depends on what else is in
+the corpus: over a grown corpus an entity may get another surrogate.
 
 All of it is DataFrame functions. Texts without a digit, ``@`` or form of address pass without a
 shuffle; equal entities are combined before theirs. Results: NULL and empty texts stay; rows
@@ -28,20 +33,21 @@ ROUNDS = 50
 
 MALE = r"(?:Mr|Mister|Sir|Herrn?|Monsieur|Señor|Sr|Г-н|Господин)\b\.?"
 FEMALE = r"(?:Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Sra|Г-жа|Госпожа)\b\.?"
-# A possessive ending is not of the name.
-NAME_WORD = r"\p{Lu}(?:\p{L}|['-](?!s\b)(?=\p{L}))+"
+# A possessive ending is not of the name, nor is a run of over 64 letters one. Possessive repeats keep the matcher from recursing.
+NAME_WORD = r"\p{Lu}(?:\p{L}{1,63}+(?:['-](?!s\b)\p{L}{1,64}+){0,4}+|(?:['-](?!s\b)\p{L}{1,64}+){1,4}+)(?!\p{L})"
 NAME = rf"{NAME_WORD}(?:[ \t]+{NAME_WORD})?"
 PERSON = ("male", "female", "family")
 # Patterns by type, first match first.
 TYPES = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,63}",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)",
-    "key": r"\bAKIA[0-9A-Z]{16}\b",
+    "ipv6": r"(?<![\w:.])(?=[A-Fa-f:]{0,35}[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])",
+    "key": r"\b(?:A[KS]IA[0-9A-Z]{16}|gh[oprsu]_[A-Za-z0-9]{36,255}|AIza[0-9A-Za-z_-]{35}|sk[-_][A-Za-z0-9_-]{20,200}|xox[abprs]-[0-9A-Za-z-]{10,200})\b",
     "token": r"\b(?=[0-9A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": r"\b\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}\b",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
-    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}\b|\(\d{3}\) ?\d{3}-\d{4}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b",
+    "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}\b|\(\d{3}\) ?\d{3}-\d{4}\b|\b\d{3}[.-]\d{3}[.-]\d{4}\b|\b0[1-9]\d{1,3}[ /-]\d{3,4}[ -]?\d{2,5}\b",
     "male": rf"\b{MALE}[ \t]+{NAME}",
     "female": rf"\b{FEMALE}[ \t]+{NAME}",
 }
@@ -78,7 +84,7 @@ def bare(found: Column, kind: Column) -> Column:
 
 def canonical(value: Column, kind: Column) -> Column:
     return F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(value, "[^0-9]", "")).when(
-        kind.isin("email", "token"), F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(
+        kind.isin("email", "token", "ipv6"), F.lower(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when(
         kind.isin(*PERSON), F.lower(F.regexp_replace(value, r"[ \t]+", " "))).otherwise(value)
 
 
@@ -112,6 +118,18 @@ def luhn(digits: Column) -> Column:
     return once(F.split(F.reverse(digits), ""), total)
 
 
+def remainder(iban: Column) -> Column:
+    """What the number leaves modulo 97 with its first four signs behind it and letters as 10 to 35; 1 if its check digits are right."""
+    behind = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, 1, 4))
+    return F.aggregate(F.split(behind, ""), F.lit(0), lambda sum_, c: F.when(
+        c.rlike("[A-Z]"), (sum_ * 100 + F.ascii(c) - 55) % 97).otherwise((sum_ * 10 + F.coalesce(c.try_cast("int"), F.lit(0))) % 97))
+
+
+def with_check_digits(iban: Column) -> Column:
+    country, rest = F.substring(iban, 1, 2), F.substring(iban, F.lit(5), F.length(iban))
+    return F.concat(country, F.lpad((98 - remainder(F.concat(country, F.lit("00"), rest))).cast("string"), 2, "0"), rest)
+
+
 def draw(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """A surrogate of the canonical form."""
     return once(digest_numbers(kind, value, attempt, key), lambda numbers: drawn_from(numbers, kind, value, attempt))
@@ -129,6 +147,8 @@ def drawn_from(numbers: Column, kind: Column, value: Column, attempt: Column) ->
     plain = signs(numbers, value, F.lit(0))
     card = signs(numbers, value, F.lit(1))
     card = F.when(luhn(value) == 0, once(card, checked)).otherwise(card)
+    iban = signs(numbers, value, F.lit(2))
+    iban = F.when(remainder(value) == 1, once(iban, with_check_digits)).otherwise(iban)
     host = F.length(F.substring_index(value, ".", -1))
     email = F.concat(signs(numbers, F.substring(value, F.lit(1), F.length(value) - host), F.lit(0)), F.substring_index(value, ".", -1))
     def part(i: Column, choices: list[str]) -> Column:
@@ -146,8 +166,8 @@ def drawn_from(numbers: Column, kind: Column, value: Column, attempt: Column) ->
         name = F.when(value.rlike(letters), person(script)).otherwise(name)
     return (
         F.when(kind == "ip", ip).when(kind == "email", email).when(kind == "card", card).when(kind == "key", signs(numbers, value, F.lit(4)))
-        .when(kind == "token", signs(numbers, value, F.lit(0), "abcdef"))
-        .when(kind == "iban", signs(numbers, value, F.lit(2))).when(kind == "phone", signs(numbers, value, F.lit(1)))
+        .when(kind.isin("token", "ipv6"), signs(numbers, value, F.lit(0), "abcdef"))
+        .when(kind == "iban", iban).when(kind == "phone", signs(numbers, value, F.lit(1)))
         .when(kind.isin(*PERSON), name).otherwise(plain))
 
 
@@ -162,7 +182,7 @@ def formatted(value: Column, kind: Column, surrogate: Column) -> Column:
         F.array_join(F.transform(F.split(surrogate, "-"), lambda x: F.initcap(x)), "-"))
     cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
         F.substring(value, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
-    return F.when(kind == "token", cased).when(kind.isin("card", "ssn", "phone"), spread("[0-9]")).when(kind == "iban", spread("[A-Z0-9]")).when(
+    return F.when(kind.isin("token", "ipv6"), cased).when(kind.isin("card", "ssn", "phone"), spread("[0-9]")).when(kind == "iban", spread("[A-Z0-9]")).when(
         kind == "email", capital).when(kind.isin(*PERSON), titled).otherwise(surrogate)
 
 
@@ -201,24 +221,30 @@ def entities_of(found: Column) -> Column:
 
     def parts(all_: Column) -> Column:
         whole = F.filter(all_, lambda e: is_name(e["kind"]) & F.contains(e["value"], F.lit(" ")))
-        words = lambda i: F.transform(whole, lambda e: F.substring_index(e["value"], " ", i))
+        words = lambda i: F.array_distinct(F.transform(whole, lambda e: F.substring_index(e["value"], " ", i)))
 
-        def split_up(e: Column) -> Column:
+        def split_up(e: Column, given: Column, family: Column) -> Column:
             def part(kind: Column, i: int) -> Column:
                 return F.struct(kind.alias("kind"), F.substring_index(e["value"], " ", i).alias("value"),
                                 F.regexp_extract(e["spelled"], r"^[^ \t]+" if i > 0 else r"[^ \t]+$", 0).alias("spelled"))
 
-            alone = F.when(F.array_contains(words(1), e["value"]) & ~F.array_contains(words(-1), e["value"]), e["kind"]).otherwise(F.lit("family"))
+            alone = F.when(F.array_contains(given, e["value"]) & ~F.array_contains(family, e["value"]), e["kind"]).otherwise(F.lit("family"))
             same = F.struct(e["kind"].alias("kind"), e["value"].alias("value"), e["spelled"].alias("spelled"))
             return F.when(~is_name(e["kind"]) | e["kind"].isNull(), F.array(same)).when(
                 F.contains(e["value"], F.lit(" ")), F.array(part(e["kind"], 1), part(F.lit("family"), -1))).otherwise(
                 F.array(part(alone, 1)))
 
-        return F.transform(all_, lambda e: F.struct(e["found"].alias("found"), e["spelled"].alias("spelled"), split_up(e).alias("parts")))
+        return once(F.struct(words(1).alias("given"), words(-1).alias("family")), lambda known: F.transform(all_, lambda e: F.struct(
+            e["found"].alias("found"), e["spelled"].alias("spelled"), split_up(e, known["given"], known["family"]).alias("parts"))))
 
     return once(named_, parts)
 
 
+def interleaved(gaps: Column, puts: Column) -> Column:
+    """Gaps with what is put behind each, as one text."""
+    return F.array_join(F.zip_with(gaps, puts, lambda g, p: F.concat(g, F.coalesce(p, F.lit("")))), "")
+
+
 def mentions(gap: Column, pattern: Column, names: Column) -> Column:
     """The names of a text that stand in a stretch of it without a form of address, replaced."""
     def put(word: Column) -> Column:
@@ -226,8 +252,7 @@ def mentions(gap: Column, pattern: Column, names: Column) -> Column:
         return formatted(word, F.lit("family"), known["surrogate"])
 
     found = F.regexp_extract_all(gap, pattern, F.lit(0))
-    return F.array_join(F.transform(F.split(gap, pattern, -1), lambda g, i: F.concat(
-        g, F.coalesce(F.get(F.transform(found, put), i), F.lit("")))), "")
+    return interleaved(F.split(gap, pattern, -1), F.transform(found, put))
 
 
 def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -247,20 +272,19 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         "doc_id", "text_key", "at", "part", F.col("kind").isin(*PERSON).alias("person"),
         F.struct(F.col("value").alias("word"), (F.col("kind") != "family").alias("given"), "surrogate").alias("name"),
         F.when(F.col("surrogate").isNull(), F.col("found")).otherwise(F.concat(front, formatted(F.col("spelled"), F.col("kind"), F.col("surrogate")))).alias("put"))
-    spot = F.struct("at", "put")
-    puts = written.groupBy("doc_id", "text_key").agg(
-        F.sort_array(F.collect_list(F.when(F.col("part") == 0, spot))).alias("puts"),
-        F.map_from_entries(F.collect_list(F.when(F.col("part") == 1, spot))).alias("seconds"),
-        F.sort_array(F.collect_set(F.when(F.col("person"), F.col("name")))).alias("names"))
+    whole = written.groupBy("doc_id", "text_key", "at").agg(
+        F.concat(F.max(F.when(F.col("part") == 0, F.col("put"))), F.coalesce(F.max(F.when(F.col("part") == 1, F.col("put"))), F.lit(""))).alias("put"),
+        F.collect_set(F.when(F.col("person"), F.col("name"))).alias("names"))
+    puts = whole.groupBy("doc_id", "text_key").agg(
+        F.sort_array(F.collect_list(F.struct("at", "put"))).alias("puts"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"))
     texts = docs.where(hit)
-    joined = texts.join(puts, same_row(texts, puts), "left").select(texts["doc_id"], "text", "puts", "seconds", "names")
+    joined = texts.join(puts, same_row(texts, puts), "left").select(texts["doc_id"], "text", "puts", "names")
     # Longer names first; a mention begins with a capital, whatever the case of the rest.
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?=\p{Lu})(?iu:"), F.array_join(F.sort_array("names.word", asc=False), "|"), F.lit(r")(?![\p{L}\p{N}])"))
     joined = joined.withColumn("pattern", pattern).withColumn("gaps", F.split("text", PATTERN, -1))
     bare_ = F.when(F.size("names") > 0, F.transform("gaps", lambda g: mentions(g, F.col("pattern"), F.col("names")))).otherwise(F.col("gaps"))
     more = F.when(F.size("names") > 0, F.aggregate("gaps", F.lit(0), lambda n, g: n + F.size(F.regexp_extract_all(g, F.col("pattern"), F.lit(0))))).otherwise(0)
-    rebuilt = F.array_join(F.transform(bare_, lambda g, i: F.concat(
-        g, F.coalesce(F.get("puts.put", i), F.lit("")), F.coalesce(F.try_element_at("seconds", i), F.lit("")))), "")
+    rebuilt = interleaved(bare_, F.col("puts.put"))
     changed = joined.select(
         "doc_id", (F.coalesce(F.size("puts"), F.lit(0)) + F.coalesce(more, F.lit(0))).cast("long").alias("n_entities"),
         F.when(F.col("puts").isNull(), F.col("text")).otherwise(rebuilt).alias("text"))

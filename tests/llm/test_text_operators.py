@@ -14,7 +14,7 @@ from lakestar.llm.license_scan import scan
 from lakestar.llm.line_dedup import drop_recurring_lines
 from lakestar.llm.quality_rules import RULES, judge, ordered
 from lakestar.llm.substring_dedup import remove_repeated
-from lakestar.llm.surrogates import TYPES, canonical, replace_entities, surrogate_table
+from lakestar.llm.surrogates import PATTERN, TYPES, canonical, replace_entities, surrogate_table
 from pyspark.sql import functions as F
 
 
@@ -282,6 +282,63 @@ def test_surrogates_keep_their_type(frame):
     assert all(re.fullmatch(TYPES["token"], x) for x in (low, high, both))
 
 
+def test_long_words_and_runs(frame):
+    """Runs of a megabyte neither recurse nor take quadratic time, nor do thousands of entities in one text."""
+    n = 1_000_000
+    docs = [(1, "Mr A" + "b" * n), (2, "x" * n + " ann.lee@example.com"), (3, "Mr A" + "-a" * (n // 2)), (4, "a@" + "b." * (n // 2)), (5, "1." * (n // 2)),
+            (6, "0123456789abcdef" * (n // 16)), (7, "a:" * (n // 2) + "1"), (8, "a@" * (n // 2)), (9, "+1 " * (n // 3)), (10, "Mr Smith 10.1.2.3 " * 3000)]
+    got = {r["doc_id"]: (r["n_entities"], r["text"]) for r in replace_entities(frame(docs)).collect()}
+    assert got[1] == (0, docs[0][1]) and got[2][0] == 1 and got[2][1].startswith("x" * n + " ") and "ann.lee" not in got[2][1]
+    assert all(got[i] == (0, docs[i - 1][1]) for i in (4, 5, 6, 8, 9)) and got[10][0] == 6000 and len(set(got[10][1].split(" "))) == 4
+
+
+def test_more_types(frame):
+    texts = ["host 2001:db8:85a3:0:0:8a2e:370:7334 and fe80::1ff:FE23:4567 up", "ghp_16C7e42F292c6912E7710c838347Ae178B4a xoxb-123456789012-abcdefABCDEF",
+             "ruf 0171 1234567 an", "at 10:20:30 or std::vector, add::bad, 2024-05-06", "DE89 3704 0044 0532 0130 00 or DE00 3704 0044 0532 0130 00"]
+    got = {r["doc_id"]: (r["n_entities"], r["text"]) for r in replace_entities(frame(list(enumerate(texts)))).collect()}
+    assert [got[i][0] for i in range(5)] == [2, 2, 1, 0, 2] and got[3][1] == texts[3]
+    assert re.fullmatch(r"host [0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}:\w:\w:[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4} and [0-9a-f]{4}::[0-9a-f]{3}:[0-9A-F]{4}:[0-9]{4} up", got[0][1])
+    assert re.fullmatch(r"ghp_[A-Za-z0-9]{36} xoxb-[0-9]{12}-[a-z]{6}[A-Z]{6}", got[1][1]) and "16C7e42F" not in got[1][1]
+    assert re.fullmatch(r"ruf 0\d{3} \d{7} an", got[2][1]) and got[2][1] != texts[2]
+
+    def left(iban):
+        iban = iban.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+    right, wrong = got[4][1].split(" or ")
+    assert left(right) == 1 and right != texts[4][:27] and right[:2] == wrong[:2] == "DE"
+
+
+def test_surrogates_against_plain_python(spark):
+    """Spans found by another regular-expression engine; what stands between them stays, and spans map one to one over all documents."""
+    import regex
+
+    pattern = regex.compile(PATTERN)
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    got = {r["doc_id"]: r for r in replace_entities(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    to, back, spans = {}, {}, 0
+    for doc_id, text in docs:
+        found = list(pattern.finditer(text or ""))
+        if any(regex.fullmatch(TYPES[k], m[0]) for m in found for k in ("male", "female")):
+            continue  # names change what stands between, and have a test of their own
+        assert got[doc_id]["n_entities"] == len(found), doc_id
+        at, out, rest = 0, got[doc_id]["text"], text or ""
+        for m in found:
+            gap = rest[at:m.start()]
+            assert out.startswith(gap)
+            out, at = out[len(gap):], m.end()
+            kind = next(k for k, p in TYPES.items() if regex.fullmatch(p, m[0]))
+            put = regex.match(TYPES[kind], out)
+            assert put, (kind, m[0], out[:40])
+            plain = (lambda x, k=kind: (k, regex.sub("[^0-9]", "", x) if k in ("card", "ssn", "phone") else x.replace(" ", "").lower() if k != "key" else x))
+            length = len(m[0]) if kind not in ("ip",) else put.end()
+            value, surrogate = plain(m[0]), plain(out[:length])
+            assert to.setdefault(value, surrogate) == surrogate and back.setdefault(surrogate, value) == value and value != surrogate
+            out, spans = out[length:], spans + 1
+        assert out == rest[at:]
+    assert spans > 50 and not set(to) & set(back)
+
+
 def test_names_are_followed_through_a_text(frame):
     docs = [
         (1, "Mr John Smith, Mr JOHN  SMITH, Mr Smith's dog and Mister Smith. Then John Smith left; SMITH, Smith-led, a smith and Smithson stay. Mr John came."),
