@@ -5,7 +5,8 @@ variable field (``<*>``). A path is busy if at least ``MIN_DOCS`` lines, of two
 text). A line that stands under no busy path of its own goes to a wildcard child: the busiest path that has one of its leading
 tokens replaced by ``<*>``. In a leaf, a token that stands at its place in fewer than ``MIN_DOCS`` lines is a
 variable field too, and a field is never constant. What remains is the line's template, if at least ``CONSTANT`` of
-its tokens are constant. All other lines, those of fewer than ``LEAD + 1`` tokens and those outside busy leaves, are their own template.
+its tokens are constant. All other lines, those of up to ``SHORT`` tokens and those outside busy leaves, are their own template.
+The tree is deep enough that plain prose seldom meets in a leaf, however much of it there is.
 
 A template is a candidate if it stands in enough different texts: ``MIN_DOCS`` for lines of up to ``MIN_DOCS`` tokens, fewer for
 longer ones (``REPEATED`` tokens in all), two from 50 tokens on. Copied documents repeat lines too, but they are left to
@@ -27,15 +28,14 @@ from pyspark.sql import functions as F
 
 from lakestar.llm.shared import WORD, keyed, saved, table
 
-LEAD = 3
+LEAD = 6
+SHORT = 3
 MIN_DOCS = 10
 REPEATED = 100
 CONSTANT = 0.7
 COPIED = 0.75
 EDGE = 8
 FIELD = "<*>"
-#: Broadcasting the forms of busy leaves spares a shuffle of all lines; above this many they are joined like any other table.
-BROADCAST_ROWS = 300_000
 
 
 def needed(n: Column) -> Column:
@@ -68,11 +68,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     rows = docs.where("text IS NOT NULL").select("text_key", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     tokens = rows.withColumn("tokens", tokens_of(F.col("line"))).withColumn("n", F.size("tokens")).where("n > 0").withColumn(
         "fields", F.when(F.col("line").rlike("[0-9]"), F.transform("tokens", masked)).otherwise(F.col("tokens")))
-    lead = [F.when(F.col("n") > LEAD, F.xxhash64(F.get("fields", F.lit(i)))).alias(f"lead{i}") for i in range(LEAD)]
+    lead = [F.when(F.col("n") > SHORT, F.xxhash64(F.get("fields", F.lit(i)))).alias(f"lead{i}") for i in range(LEAD)]
     return tokens.select(
         "text_key", "pos", "n", F.xxhash64("tokens").alias("form"), *lead, F.xxhash64(F.slice("fields", 1, EDGE)).alias("head"),
         F.xxhash64(F.slice("fields", F.greatest(F.lit(1), F.col("n") - EDGE + 1), F.lit(EDGE))).alias("tail"),
-        F.when(F.col("n") > LEAD, F.col("line")).alias("line"))
+        F.when(F.col("n") > SHORT, F.col("line")).alias("line"))
 
 
 def paths(n: Column, lead: list[Column]) -> Column:
@@ -85,11 +85,10 @@ def leaves(lines: DataFrame) -> DataFrame:
     """``(form, n, texts, leaf)`` for the forms that stand in a busy leaf."""
     lead = [f"lead{i}" for i in range(LEAD)]
     forms = saved(
-        lines.where(F.col("n") > LEAD).select("form", "text_key", "n", *lead).dropDuplicates(["form", "text_key"])
+        lines.where(F.col("n") > SHORT).select("form", "text_key", "n", *lead).dropDuplicates(["form", "text_key"])
         .groupBy("form").agg(F.count("*").alias("texts"), F.first("n").alias("n"), *(F.first(c).alias(c) for c in lead)), "lines-forms")
-    ways = forms.select("form", "n", "texts", F.posexplode(paths(F.col("n"), [F.col(c) for c in lead])).alias("way", "leaf"))
     # A leading token with a digit is a field already; its path and that wildcard path are one.
-    ways = ways.groupBy("form", "leaf").agg(F.min("way").alias("way"), F.first("n").alias("n"), F.first("texts").alias("texts"))
+    ways = forms.select("form", "n", "texts", F.posexplode(F.array_distinct(paths(F.col("n"), [F.col(c) for c in lead]))).alias("way", "leaf"))
     busy = ways.groupBy("leaf").agg(F.sum("texts").alias("weight"), F.count("*").alias("forms")).where(
         (F.col("weight") >= MIN_DOCS) & (F.col("forms") > 1)).select("leaf", "weight")
     order = F.struct(F.col("way") > 0, -F.col("weight"), F.col("way"), F.col("leaf").alias("leaf"))
@@ -100,9 +99,7 @@ def leaves(lines: DataFrame) -> DataFrame:
 
 def templates(lines: DataFrame) -> DataFrame:
     """``(form, template)`` for the lines whose variable fields are generalised."""
-    leafed = leaves(lines)
-    side = F.broadcast(leafed) if leafed.count() <= BROADCAST_ROWS else leafed
-    words = lines.where(F.col("n") > LEAD).select("form", "line").join(side, "form").dropDuplicates(["form"])
+    words = lines.where(F.col("n") > SHORT).select("form", "line").join(leaves(lines), "form").dropDuplicates(["form"])
     tokens = saved(words.select("form", "leaf", "n", "texts", F.posexplode(F.transform(tokens_of(F.col("line")), masked)).alias("at", "token")), "lines-tokens")
     common = tokens.where(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(F.sum("texts").alias("often")).where(
         F.col("often") >= MIN_DOCS).select("leaf", "at", "token")
@@ -172,8 +169,8 @@ form AS (
   SELECT w, len(w) AS n, count(DISTINCT tid) AS texts, list_transform(w, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END) AS m
   FROM ln GROUP BY w),
 way AS (
-  SELECT w, texts, k, CASE k WHEN 0 THEN [m[1], m[2], m[3]] WHEN 1 THEN ['{FIELD}', m[2], m[3]] WHEN 2 THEN [m[1], '{FIELD}', m[3]] ELSE [m[1], m[2], '{FIELD}'] END AS p, n
-  FROM form, unnest(range(4)) AS u(k) WHERE n > 3),
+  SELECT w, texts, k, list_transform(m[1:{LEAD}], lambda x, i: CASE WHEN i = k THEN '{FIELD}' ELSE x END) AS p, n
+  FROM form, unnest(range({LEAD + 1})) AS u(k) WHERE n > {SHORT}),
 own AS (SELECT w, n, p, min(k) AS k, any_value(texts) AS texts FROM way GROUP BY w, n, p),
 busy AS (SELECT n, p, sum(texts) AS weight FROM own GROUP BY n, p HAVING sum(texts) >= {MIN_DOCS} AND count(*) > 1),
 pick AS (

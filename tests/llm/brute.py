@@ -101,8 +101,8 @@ def template_of_lines(forms, min_docs, constant):
     weight, members, ways = Counter(), defaultdict(set), {}
     for form, texts in forms.items():
         if len(form) > 3:
-            lead = mask(form)[:3]
-            own = [(len(form), *("<*>" if i == j else t for i, t in enumerate(lead))) for j in (None, 0, 1, 2)]
+            lead = mask(form)[:6]
+            own = [(len(form), *("<*>" if i == j else t for i, t in enumerate(lead))) for j in (None, *range(6))]
             ways[form] = list(dict.fromkeys(own))
             for path in ways[form]:
                 weight[path] += texts
