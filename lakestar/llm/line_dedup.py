@@ -146,7 +146,8 @@ def drop_recurring_lines(docs: DataFrame, carry: bool = False) -> DataFrame:
     gone = saved(recurring_lines(docs), "lines-gone")
     docs = keyed(docs, carry)
     others = ["doc"] if carry else []
-    joined = docs.join(gone, "text_key", "left").select("doc_id", "text_key", "text", "gone", *others)
+    # The same join at every size: a few texts with such lines would be broadcast, many not.
+    joined = docs.join(gone.hint("merge"), "text_key", "left").select("doc_id", "text_key", "text", "gone", *others)
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("gone", i)), "\n")
     breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
