@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from lakestar.suite import lodging, music, reports, upserts, quality, files, history  # noqa: E402,F401
+from lakestar.suite import lodging, music, reports, upserts, quality, files, history, layout  # noqa: E402,F401
