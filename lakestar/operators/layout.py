@@ -9,7 +9,7 @@ the least and greatest value of each key in each file; a lookup reads it first a
 many values, bloom filters skip row groups.
 
 Only the layout rests on a sample (``SAMPLE`` rows); which rows a lookup returns does not. A value that a third of all rows
-share is split by the other keys, and rows alike in all of them by a hash of the row.
+share is split by the other keys (its lookups, and those of values close to it, meet about the share of files that its rows fill), and rows alike in all of them by a hash of the row.
 """
 
 from __future__ import annotations
