@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm.shared import WORD, keyed, saved, table
+from lakestar.llm.shared import WORD, keyed, saved, settled, table
 
 LEAD = 6
 SHORT = 3
@@ -143,7 +143,7 @@ def recurring_lines(docs: DataFrame) -> DataFrame:
 
 def drop_recurring_lines(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id, text_key, n_lines, n_dropped and kept_text (and ``doc``, see ``keyed``): a row per input row."""
-    gone = saved(recurring_lines(docs), "lines-gone")
+    gone = settled(docs.sparkSession, lambda: recurring_lines(docs), "lines-gone")
     docs = keyed(docs, carry)
     others = ["doc"] if carry else []
     # The same join at every size: a few texts with such lines would be broadcast, many not.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,9 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATOR = r"[\x20\x09-\x0D]+"
 
+# Folders of the tables saved since the innermost ``settled`` began.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime options of these operators: small Arrow batches, so that long texts fit a worker."""
@@ -30,9 +36,33 @@ def saved(df: DataFrame, label: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
+    if _passing.get() is not None:
+        _passing.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``saved(build())``, after which the tables that ``build`` saved on its way are deleted.
+
+    The result is a written table that no longer reads them. If it fails, they stay. Nothing else may read them
+    later, so ``build`` hands out its result only.
+    """
+    outer = _passing.get()
+    mark = _passing.set([])
+    try:
+        result = saved(build(), label)
+        *passing, kept = _passing.get()
+    finally:
+        _passing.reset(mark)
+    if outer is not None:
+        outer.append(kept)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in passing:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+    return result
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
