@@ -12,7 +12,7 @@ Curriculum: each source has a weight schedule over training time 0 to 1, a line
 ``1 - tilt`` to ``1 + tilt`` of its mean, with ``tilt`` from ``-TILT`` for the lightest source to
 ``TILT`` for the heaviest. The schedule's integral is the share of the source's tokens that is
 due by a time; its inverse at a copy's middle token is the copy's training position. Copies are
-range-sorted by position.
+range-sorted by position, and the query's rows, a document each, are made from the sorted copies.
 
 All of it is DataFrame functions. The running sum of a source is cut into ``SLICES`` by the
 leading digits of the hash, so a source with a third of all texts is summed in that many
@@ -108,26 +108,51 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
         .withColumn("position", F.when(F.col("taken") > 0, position(F.lit(0)))))
 
 
+def own_words(round_: Column) -> Column:
+    """Words of a document's copy in a round: all, or what is left of the part; NULL without a round."""
+    return F.when(round_.isNotNull(), F.least(F.col("size"), F.col("taken") - round_ * F.col("size")))
+
+
 def position(round_: Column) -> Column:
     """Training position of a document's copy in a round: its middle word on its source's demand curve."""
-    own = F.least(F.col("size"), F.col("taken") - round_ * F.col("size"))
-    middle = round_ * F.col("source_size") + F.col("begins") + own / 2
-    return due_at(F.least(F.lit(1.0), middle / F.greatest(F.lit(1), F.round("target"))), F.col("tilt"))
+    middle = round_ * F.col("source_size") + F.col("begins") + own_words(round_) / 2
+    share = middle / F.greatest(F.lit(1), F.round("target"))
+    return F.when(round_.isNotNull(), due_at(F.least(F.lit(1.0), share), F.col("tilt")))
 
 
-def copies(mixed: DataFrame) -> DataFrame:
-    """A row per copy of a taken document, with its words and training position, range-sorted by position."""
+def scheduled(mixed: DataFrame) -> DataFrame:
+    """A row per copy of a document, with its words and training position, range-sorted by position.
+
+    Documents that are not taken follow as one row each, without round, words and position.
+    """
     n = (F.col("rounds") + (F.col("part") > 0).cast("long")).cast("int")
     return (
-        mixed.where("taken > 0").withColumn("round", F.explode(F.sequence(F.lit(0), n - 1)))
-        .withColumn("position", position(F.col("round")))
-        .withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("round") * F.col("size")))
-        .orderBy("position", "doc_id", "round"))
+        mixed.withColumn("round", F.explode_outer(F.when(F.col("taken") > 0, F.sequence(F.lit(0), n - 1))))
+        .withColumns({"position": position(F.col("round")), "words": own_words(F.col("round"))})
+        .orderBy(F.col("position").asc_nulls_last(), "doc_id", "round"))
+
+
+def copies(mixed: DataFrame) -> DataFrame:
+    """The copies alone: a row per copy of a taken document, range-sorted by position."""
+    return scheduled(mixed).where(F.col("round").isNotNull())
+
+
+def by_document(schedule: DataFrame) -> DataFrame:
+    """A row per document, range-sorted by its first position, from the rows of ``scheduled``.
+
+    Words of one source begin at one place only, so the place tells repeated rows apart.
+    """
+    own = ["doc_id", "source", "begins", "size", "source_size", "target"]
+    taken = schedule.where(F.col("round").isNotNull()).groupBy(*own).agg(
+        F.sum("words").alias("taken"), F.min("position").alias("first_position"))
+    left = schedule.where(F.col("round").isNull()).select(
+        *own, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("double").alias("first_position"))
+    return taken.unionByName(left).orderBy(F.col("first_position").asc_nulls_last(), "doc_id", "begins")
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", F.col("position").alias("first_position"))
+    schedule = saved(scheduled(mix(table(spark, sf_dir, "documents"))), "mix-schedule")
+    return by_document(schedule).select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 OP9_SQL = rf"""

@@ -8,7 +8,7 @@ import pytest
 
 from brute import base_figures, dropped_lines, jaccard_rows, kept_by_rules, mix_targets, removed_words, words
 from frames import frame  # noqa: F401
-from lakestar.llm.curriculum import copies, due_at, mix
+from lakestar.llm.curriculum import copies, due_at, mix, op9_source_mix
 from lakestar.llm.jaccard_join import near_components
 from lakestar.llm.license_scan import scan
 from lakestar.llm.line_dedup import drop_recurring_lines
@@ -194,6 +194,24 @@ def test_source_mix(frame):
     assert mix(frame([])).count() == 0
 
 
+def test_mix_comes_from_sorted_copies(spark, frame, tmp_path):
+    """The query's rows lie along the curriculum, documents without a copy last, and hold what their copies hold."""
+    docs = [(i, " ".join("w" for _ in range(i * 7 % 50)), s) for i, s in enumerate(["a", "b", "c", None, "d"] * 20)]
+    docs += [(1000, " ".join("w" for _ in range(3000)), "b"), (1001, None, "a"), (1001, None, "a"), (1003, "x y", "e"), (1003, "x y", "e"), (None, "q", "f")]
+    frame(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    query = op9_source_mix(spark, str(tmp_path))
+    rows = query.collect()
+    assert "rangepartitioning(first_position" in query._jdf.queryExecution().executedPlan().toString()
+    at = [r["first_position"] for r in rows]
+    assert at == sorted(at, key=lambda p: (p is None, p))
+    held = defaultdict(list)
+    for c in copies(mix(frame(docs))).collect():
+        held[c["doc_id"], c["begins"]].append((c["position"], c["words"]))
+    expected = [(doc, sum(w for _, w in found), min(found)[0]) for (doc, _), found in held.items()]
+    assert sorted(((r["doc_id"], r["taken"], r["first_position"]) for r in rows if r["taken"]), key=repr) == sorted(expected, key=repr)
+    assert len(rows) == len(docs) and {r["doc_id"] for r in rows if not r["taken"]} >= {0, 1001}
+
+
 def test_demand_is_inverted(spark):
     for tilt in (-0.5, 0.0, 0.5):
         for share in (0.0, 0.2, 0.7, 1.0):
