@@ -1,22 +1,25 @@
 """Natural-key joins that forgive misspelt texts and numbers that are a little off.
 
 Two keys match if their texts, put together, differ in at most ``edits`` single-character
-edits and their numbers by at most ``within``. Three equi-joins do it, none of which compares
+edits and their numbers by at most ``within``. Equi-joins and a sort do it, none of which compares
 all keys:
 
-1. Of the log only the distinct keys are matched, so a key with a third of all rows is one row.
+1. Of the log only the distinct keys are matched, so a key with a third of all rows is one row. Of the catalogue's
+   rows of one text and number only the smallest ids can win, so they are one row too.
    Keys that stand in the catalogue as they are meet it by equality.
 2. The rest is joined on parts of the text and a bin of the number. A catalogue text is cut into ``edits + 1``
    segments; ``edits`` edits leave one of them whole, and it stands in the other text at most
    ``edits`` places away. So the catalogue is indexed by (length, number, segment), the log's keys look up
    the substrings that may be such a segment, and no match is lost. Bins are twice ``within`` wide, so a number
-   looks into one bin or two.
-3. Candidates are verified, the best per key is kept, and the log meets the matches by equality of its whole key.
+   looks into one bin or two. What is joined and verified are the distinct texts of a bin, however many numbers they have.
+3. Keys and numbers of a pair's catalogue text stand in one order within their bin; each key takes the number before
+   it and the one after it, so numbers that lie close cost a sort, not a pair each.
+4. The best per key is kept, and the log meets the matches by equality of its whole key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestar.operators.skew import skewed_join
@@ -79,21 +82,43 @@ def matched_keys(
     ours, theirs = number
     known = [*texts, ours]
     wanted = keys.select(*known).dropna("any").distinct().withColumn("__text", folded(list(texts)))
-    side = catalogue.select(folded(list(texts.values())).alias("__theirs"), F.col(theirs).alias("__number"), *ids).dropna(
-        "any", subset=["__theirs", "__number"])
-    exact = wanted.join(
-        side.groupBy("__theirs", "__number").agg(F.min(F.struct(*ids)).alias("__best")),
-        (F.col("__text") == F.col("__theirs")) & (F.col(ours) == F.col("__number"))).select(*known, "__best.*")
-    rest = wanted.join(exact.select(*known), known, "left_anti")
-    sought = rest.select(*known, "__text", F.explode(bins(F.col(ours), within)).alias("__bin"), lookups("__text", edits).alias("__parts")).select(
-        *known, "__text", "__bin", F.explode("__parts").alias("__part"))
-    indexed = side.select("*", F.floor(F.col("__number") / (2 * within)).alias("__bin"), F.explode(segments("__theirs", edits)).alias("__part"))
-    distance = F.levenshtein("__text", "__theirs", edits)
-    off = F.abs(F.col(ours) - F.col("__number"))
-    found = sought.join(indexed, ["__bin", "__part"]).withColumns({"__edits": distance, "__off": off}).where(
-        (F.col("__edits") >= 0) & (F.col("__off") <= within))
-    best = found.groupBy(*known).agg(F.min(F.struct("__edits", "__off", *ids)).alias("__best"))
-    return exact.unionByName(best.select(*known, *[F.col(f"__best.{i}").alias(i) for i in ids]))
+    side = (
+        catalogue.select(folded(list(texts.values())).alias("__theirs"), F.col(theirs).alias("__number"), *ids)
+        .dropna("any", subset=["__theirs", "__number"])
+        .groupBy("__theirs", "__number").agg(F.min(F.struct(*ids)).alias("__ids")))
+    exact = wanted.join(side, (F.col("__text") == F.col("__theirs")) & (F.col(ours) == F.col("__number"))).select(*known, "__ids.*")
+    rest = wanted.join(exact.select(*known), known, "left_anti").withColumn("__bin", F.explode(bins(F.col(ours), within)))
+    binned = side.withColumn("__bin", F.floor(F.col("__number") / (2 * within)))
+    pairs = similar_texts(rest.select("__text", "__bin"), binned.select("__theirs", "__bin"), edits)
+    asked = rest.join(pairs, ["__text", "__bin"]).select(*known, F.col(ours).alias("__at"), "__theirs", "__bin", "__edits")
+    found = nearest(asked, binned).withColumn("__off", F.abs(F.col("__at") - F.col("__near.number"))).where(F.col("__off") <= within)
+    best = found.groupBy(*known).agg(F.min(F.struct("__edits", "__off", "__near.ids")).alias("__best"))
+    return exact.unionByName(best.select(*known, *[F.col(f"__best.ids.{i}").alias(i) for i in ids]))
+
+
+def similar_texts(ours: DataFrame, theirs: DataFrame, edits: int) -> DataFrame:
+    """``(__text, __bin, __theirs, __edits)``: the texts of one bin that differ in at most ``edits`` edits, each pair once."""
+    sought = ours.distinct().select("*", F.explode(lookups("__text", edits)).alias("__part"))
+    indexed = theirs.distinct().select("*", F.explode(segments("__theirs", edits)).alias("__part"))
+    near = sought.join(indexed, ["__bin", "__part"]).withColumn("__edits", F.levenshtein("__text", "__theirs", edits))
+    return near.where(F.col("__edits") >= 0).select("__text", "__bin", "__theirs", "__edits").distinct()
+
+
+def nearest(asked: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Rows ``(__at, __theirs, __bin, ...)`` with ``__near``, the number of their text and bin next to ``__at`` and its ids.
+
+    One row for the nearest number at or below, one for the nearest at or above, where there is one.
+    """
+    place = ["__theirs", "__bin"]
+    rows = asked.select(*place, "__at", F.struct(*asked.columns).alias("__asked")).unionByName(
+        numbers.select(*place, F.col("__number").alias("__at"), F.struct(F.col("__number").alias("number"), F.col("__ids").alias("ids")).alias("__near")),
+        allowMissingColumns=True)
+    # Rows of one number are peers, so a number is met from either side.
+    below, above = (F.last("__near", ignorenulls=True).over(
+        Window.partitionBy(*place).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        for order in (F.asc("__at"), F.desc("__at")))
+    sides = rows.select("__asked", F.array(below, above).alias("__both")).where(F.col("__asked").isNotNull())
+    return sides.select("__asked.*", F.explode("__both").alias("__near")).where(F.col("__near").isNotNull())
 
 
 def tolerant_key_join(

@@ -88,6 +88,30 @@ def test_tolerant_join(spark):
         tolerant_key_join(log, side, {"song": "title"}, ("length", "duration"), ["song_id"], 1, 0)
 
 
+def joined_rows(node):
+    """Rows out of the joins of a plan that has run."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return joined_rows(node.executedPlan())
+    own = node.metrics().apply("numOutputRows").value() if "Join" in kind else 0
+    below = [node.plan()] if kind.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+    return own + sum(map(joined_rows, below))
+
+
+def test_tolerant_join_of_close_numbers(spark):
+    """Many copies, numbers and lengths of one text within reach of each other: no key meets them all."""
+    numbers = [200 + i / 512 for i in range(300)]
+    catalogue = [(f"S{i}-{j}", f"A{j}", "Blue Moon", "Ann", n) for i, n in enumerate(numbers) for j in range(3)]
+    plays = [(i, "Blue Mon", "Ann", 199.4 + i / 250) for i in range(450)]
+    log, side = spark.createDataFrame(plays, HEARD), spark.createDataFrame(catalogue, SONGS)
+    got = tolerant_key_join(log, side, {"song": "title", "artist": "artist_name"}, ("length", "duration"), ["song_id", "artist_id"])
+    found = {r["id"]: (r["song_id"], r["artist_id"]) for r in got.collect()}
+    for i, _, _, length in plays:
+        off, at = min((abs(length - n), f"S{j}-0") for j, n in enumerate(numbers))
+        assert found[i] == ((at, "A0") if off <= 0.5 else (None, None))
+    assert joined_rows(got._jdf.queryExecution().executedPlan()) < 20 * (len(numbers) + len(plays))
+
+
 def test_facts_with_tolerance(spark):
     song = {f.name: None for f in c.STAGING_SONGS.schema} | {"song_id": "S1", "artist_id": "A1", "title": "Blue Moon", "artist_name": "Ann", "duration": 200.0}
     event = {f.name: None for f in c.STAGING_EVENTS.schema} | {"page": "NextSong", "ts": 1, "session_id": 1, "artist": "Ann"}
