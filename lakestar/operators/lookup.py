@@ -25,13 +25,17 @@ def natural_key_join(
     """
     side = catalogue.select(*[F.col(theirs).alias(ours) for ours, theirs in on.items()], *ids)
     if ambiguous == "first":
-        packed = side.groupBy(*on).agg(F.min(F.struct(*ids)).alias("__ids"))
-        side = packed.select(*on, "__ids.*")
+        side = smallest_ids(side, list(on), ids)
     elif ambiguous != "all":
         raise ValueError(f"unknown ambiguity rule: {ambiguous}")
     return skewed_join(log, side, list(on), how, salt, hot_rows)
 
 
+def smallest_ids(catalogue: DataFrame, key: list[str], ids: list[str]) -> DataFrame:
+    """One row per natural key, with its smallest id tuple."""
+    return catalogue.groupBy(*key).agg(F.min(F.struct(*ids)).alias("__ids")).select(*key, "__ids.*")
+
+
 def chained_name_join(log: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
     """Match plays by song title and artist name, tied together by the artist id.
 

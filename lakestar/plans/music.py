@@ -140,13 +140,18 @@ def songplays(
                        "location", "user_agent")
     else:
         facts = joined.select(*columns, "item_in_session")
-        key = hash_key("session_id", F.unix_micros("start_time"), "item_in_session", "song_id", "user_id")
+        key = songplay_key()
     return facts.select(
         key.alias("songplay_id"), *columns,
         F.year("start_time").alias("year"), F.month("start_time").alias("month"),
     )
 
 
+def songplay_key() -> Column:
+    """The id of a fact, from its event and its song."""
+    return hash_key("session_id", F.unix_micros("start_time"), "item_in_session", "song_id", "user_id")
+
+
 def with_time(facts: DataFrame, time: DataFrame | None = None) -> DataFrame:
     """Fact rows with their calendar fields.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -21,6 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     """Set the runtime options on a session somebody else built."""
@@ -39,6 +43,17 @@ def build_session(app: str = "lakestar", master: str | None = None, conf: dict |
     return apply_runtime_conf(builder.getOrCreate())
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it the shuffle files of a write go as soon as it is done, not when the driver collects its garbage."""
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
 @cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -56,3 +71,9 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder that nothing reads any more, on whatever storage it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

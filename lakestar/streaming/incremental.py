@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.operators.upsert import from_state, merge_states, to_state
+from lakestar.session import freed_shuffles
 
 FOLD_EVERY = 20
 
@@ -95,23 +96,31 @@ class DeltaLog:
             spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.mode("append").parquet(f"{self.root}/folded")
 
 
-def _write_batch(df: DataFrame, root: str, batch: str, partition_by: tuple[str, ...] = ()) -> None:
+def _write_batch(df: DataFrame, root: str, batch: str, partition_by: tuple[str, ...] = (), gather: bool = True) -> None:
     parts = [*partition_by, "batch"]
-    rows = df.withColumn("batch", F.lit(batch)).hint("rebalance", *parts)
-    rows.write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic").parquet(root)
+    rows = df.withColumn("batch", F.lit(batch))
+    if gather:
+        rows = rows.hint("rebalance", *parts)
+    with freed_shuffles(df.sparkSession):
+        writer = rows.write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+        writer.option("compression", "zstd").parquet(root)
 
 
-def append_batch(facts: DataFrame, root: str, batch: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Append fact rows under their batch; running the batch again replaces them."""
-    _write_batch(facts, root, batch, partition_by)
+def append_batch(facts: DataFrame, root: str, batch: str, partition_by: tuple[str, ...] = (), gather: bool = True) -> None:
+    """Append fact rows under their batch; running the batch again replaces them.
+
+    ``gather=False`` writes rows where they are, without a shuffle: for rows straight from files, which come in few tasks.
+    """
+    _write_batch(facts, root, batch, partition_by, gather)
 
 
-def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """All rows of the batches; with a declared schema, no rows before the first one."""
+def read_batches(spark: SparkSession, root: str, schema: T.StructType | None = None, batch: str | None = None) -> DataFrame:
+    """All rows of the batches, or of one; with a declared schema, no rows before the first one."""
     stored = read_if_there(spark, root)
     if stored is None and schema is not None:
         return spark.createDataFrame([], schema)
-    return (spark.read.parquet(root) if stored is None else stored).drop("batch")
+    rows = spark.read.parquet(root) if stored is None else stored
+    return (rows if batch is None else rows.where(F.col("batch") == batch)).drop("batch")
 
 
 def file_stream(

@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar import contracts as c
-from lakestar.functions.keys import hash_key
 from lakestar.functions.timeparts import calendar_fields
-from lakestar.operators.upsert import first_write_wins
+from lakestar.operators.lookup import smallest_ids
+from lakestar.operators.upsert import FIRST, from_state, merge_states
 from lakestar.plans import music
+from lakestar.session import freed_shuffles, remove_folder
 from lakestar.streaming.incremental import DeltaLog, append_batch, ingest_available, read_batches
 
 # The columns of the songs table lead, as they settle which of two rows is kept.
 SONG_VALUES = ("title", "artist_id", "year", "duration", "artist_name", "artist_location", "artist_latitude",
                "artist_longitude")
 ARTIST_VALUES = ("name", "location", "latitude", "longitude")
-# What a fact needs of a play.
+# What the tables need of a play.
 HEARD = T.StructType([f for f in c.STAGING_EVENTS.schema if f.name in (
-    "ts", "page", "user_id", "level", "session_id", "item_in_session", "location", "user_agent", *music.NATURAL_KEY)]).add("event", "string")
+    "ts", "page", "user_id", "first_name", "last_name", "gender", "level", "session_id", "item_in_session", "location", "user_agent", *music.NATURAL_KEY)])
+# A stored fact holds what its event is known by; the hash of it, its id, is made when facts are read.
+FACTS = T.StructType([*[f for f in c.SONGPLAYS.schema if f.name not in ("songplay_id", "user_id")], *[HEARD[n] for n in ("user_id", "item_in_session")]])
 
 
 class StarStream:
@@ -30,7 +33,7 @@ class StarStream:
     when their batch runs. Plays are kept beside them, and a batch of songs looks up the plays of its
     natural keys again, so a song that comes late completes the facts before it, whatever the order of the files.
     Events sent again do not double their facts: of the rows of an event the one with the smallest
-    song wins, as in the batch load. Files without rows, and events without plays, leave the tables as they are.
+    song wins, as in the batch load. A batch leaves its tables only: no shuffle files, cached rows or hashes. Files without rows, and events without plays, leave the tables as they are.
     """
 
     def __init__(self, root: str, commits: str = "commits"):
@@ -64,29 +67,39 @@ class StarStream:
             rows.unpersist()
 
     def _event_batch(self, events: DataFrame, batch: str) -> None:
-        plays = music.plays(events).persist()  # three tables from one parse of the batch's files
-        try:
-            starts = plays.select(music.start_time().alias("start_time"))
-            self.time_log.append(starts.withColumns(calendar_fields(F.col("start_time"))), batch)
-            self.user_log.append(music.known_plays(plays), batch)
-            heard = plays.withColumn("event", hash_key("session_id", "ts", "item_in_session", "user_id")).select(*HEARD.fieldNames())
-            append_batch(heard, f"{self.root}/heard", batch)
-            self._append_facts(heard, batch)
-        finally:
-            plays.unpersist()
+        # One parse of the batch's files; what follows reads the few columns it needs of the stored plays.
+        append_batch(music.plays(events).select(*HEARD.fieldNames()), f"{self.root}/heard", batch, gather=False)
+        plays = read_batches(events.sparkSession, f"{self.root}/heard", HEARD, batch)
+        starts = plays.select(music.start_time().alias("start_time"))
+        self.time_log.append(starts.withColumns(calendar_fields(F.col("start_time"))), batch)
+        self.user_log.append(music.known_plays(plays), batch)
+        self._append_facts(plays, batch)
 
     def _append_facts(self, heard: DataFrame, batch: str) -> None:
-        facts = music.songplays(heard, self.catalogue(heard.sparkSession), "left", "first", keep=("event",))
-        append_batch(facts, f"{self.root}/songplays", batch, c.SONGPLAYS.partition_by)
+        spark, folder = heard.sparkSession, f"{self.root}/lookups/{batch}"
+        ids = smallest_ids(self.catalogue(spark), list(music.NATURAL_KEY.values()), ["song_id", "artist_id"])
+        # As a table their size is known: if it is small Spark broadcasts them, and the plays stay where they are.
+        with freed_shuffles(spark):
+            ids.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        known = spark.read.schema(ids.schema).parquet(folder)
+        facts = music.songplays(heard.withColumn("item", F.col("item_in_session")), known, "left", keep=("item",))
+        append_batch(facts.withColumnRenamed("item", "item_in_session").select(*FACTS.fieldNames()), f"{self.root}/songplays", batch, c.SONGPLAYS.partition_by)
+        remove_folder(spark, folder)
 
     def catalogue(self, spark: SparkSession) -> DataFrame:
         known = self.song_log.read(spark)
         return known if known is not None else spark.createDataFrame([], c.STAGING_SONGS.schema)
 
     def songplays(self, spark: SparkSession) -> DataFrame:
-        facts = read_batches(spark, f"{self.root}/songplays", T.StructType([*c.SONGPLAYS.schema.fields, T.StructField("event", T.StringType())]))
-        missing = facts.withColumn("missing", F.col("song_id").isNull())
-        return c.conform(first_write_wins(missing, ["event"], ["missing", "song_id", "artist_id"]), c.SONGPLAYS)
+        facts = read_batches(spark, f"{self.root}/songplays", FACTS)
+        # Blank and NULL users are one event, and an event may lack any part, so rows are packed as states here.
+        event = ["session_id", "start_time", "item_in_session", "user"]
+        values = ["song_id", "artist_id", "user_id", "level", "location", "user_agent"]
+        states = facts.withColumn("user", F.coalesce("user_id", F.lit(""))).select(
+            *event, F.struct(F.col("song_id").isNull().alias("missing"), *values).alias(FIRST))
+        once = from_state(merge_states(states, event), event, [*event, *values])
+        dated = once.withColumns({"songplay_id": music.songplay_key(), "year": F.year("start_time"), "month": F.month("start_time")})
+        return c.conform(dated, c.SONGPLAYS)
 
     def _table(self, spark: SparkSession, log: DeltaLog, contract: c.Contract) -> DataFrame:
         known = log.read(spark)

@@ -14,7 +14,7 @@ from lakestar.operators import quality as q
 from lakestar.plans import music
 from lakestar.plans.load import published, run_load, run_lodging_load
 from lakestar.plans.reports import revenue_per_month
-from lakestar.session import work_dir
+from lakestar.session import freed_shuffles, remove_folder, work_dir
 from lakestar.sources import files, sinks
 from lakestar.streaming.incremental import DeltaLog, append_batch, file_stream, ingest_available, read_batches
 from lakestar.streaming.star import StarStream
@@ -237,17 +237,34 @@ def streamed_facts(t: Tables):
     return read_batches(t.spark, root)
 
 
+# Rows of a gzip file at most, as a single task reads it.
+FILE_ROWS = 1_000_000
+
+
+def _arrivals(rows: DataFrame, key: str, slices: int, batches: int, label: str) -> tuple[str, int]:
+    """Rows as gzip JSON files of bounded length, and how many files make one of so many batches.
+
+    They are written a slice of the key at a time, so that what the rows are joined from is shuffled in slices too.
+    """
+    spark, root = rows.sparkSession, work_dir(rows.sparkSession, label)
+    with freed_shuffles(spark):
+        for i in range(slices):
+            part = rows.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
+            part.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).json(root)
+    return root, max(1, -(-len(spark.read.text(root).inputFiles()) // batches))
+
+
 @query("streamed_star_facts", LOOKUP_FACTS_SQL)
 def streamed_star_facts(t: Tables):
-    songs, events = work_dir(t.spark, "song-files"), work_dir(t.spark, "event-files")
-    t.catalogue().repartition(2).write.json(songs)
-    conform(t.play_log(), STAGING_EVENTS).repartition(4).write.json(events)
+    songs, song_files = _arrivals(t.catalogue(), "song_id", 2, 2, "song-files")
+    events, event_files = _arrivals(conform(t.play_log(), STAGING_EVENTS), "session_id", 4, 2, "event-files")
     root = work_dir(t.spark, "star")
     star = StarStream(root)
-    star.load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=2))  # before any song
-    star.load_songs(file_stream(t.spark, songs, STAGING_SONGS.schema, max_files=1))
+    star.load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=event_files))  # before any song
+    star.load_songs(file_stream(t.spark, songs, STAGING_SONGS.schema, max_files=song_files))
     # The same files again under a second checkpoint: every fact once, now with its song.
-    StarStream(root, "second").load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=2))
+    StarStream(root, "second").load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=event_files))
+    remove_folder(t.spark, events)  # the facts are read from the star's own tables
     return fact_columns(star.songplays(t.spark))
 
 

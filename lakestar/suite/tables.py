@@ -85,8 +85,11 @@ class Tables:
 
         A line without its customer or part is no play either way.
         """
-        line, order = self.lineitem, self.orders
-        log = line.join(order, line.l_orderkey == order.o_orderkey)
+        known_user, known_song = F.col("o_custkey") == F.col("c_custkey"), F.col("l_partkey") == F.col("p_partkey")
+        # Lines meet the few columns of their part, and orders their customer, before the two meet: less moves.
+        line = self.lineitem.join(self.part, known_song) if songs else self.lineitem.join(self.part.select("p_partkey"), known_song, "left_semi")
+        order = self.orders.join(self.customer, known_user) if users else self.orders.join(self.customer.select("c_custkey"), known_user, "left_semi")
+        log = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         flag = F.col("l_returnflag")
         columns = [
             (F.unix_millis(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber") * 250).alias("ts"),
@@ -95,19 +98,12 @@ class Tables:
             F.col("o_orderpriority").alias("location"), F.col("l_linestatus").alias("user_agent"),
             F.when(flag == "N", "NextSong").when(flag == "A", "Home").otherwise("Submit Downgrade").alias("page"),
         ]
-        known_user, known_song = F.col("o_custkey") == F.col("c_custkey"), F.col("l_partkey") == F.col("p_partkey")
-        if not users:
-            log = log.join(self.customer.select("c_custkey"), known_user, "left_semi")
-        if not songs:
-            log = log.join(self.part.select("p_partkey"), known_song, "left_semi")
         if users:
-            log = log.join(self.customer, known_user)
             columns += [
                 F.col("c_mktsegment").alias("first_name"), F.col("c_name").alias("last_name"),
                 F.when(F.col("c_acctbal") < 0, "F").otherwise("M").alias("gender"),
             ]
         if songs:
-            log = log.join(self.part, known_song)
             columns += [
                 F.col("p_brand").alias("artist"), F.col("p_name").alias("song"),
                 (F.col("p_retailprice") * (1 - F.col("l_discount"))).alias("length"),

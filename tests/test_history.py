@@ -1,6 +1,7 @@
 """Tolerant keys, values carried forward, as-of joins, histories, sessions and late songs against plain Python."""
 
 import json
+import pathlib
 import random
 from collections import defaultdict
 
@@ -16,6 +17,7 @@ from lakestar.operators.tolerant import lookups, segments, tolerant_key_join
 from lakestar.plans import music
 from lakestar.streaming.incremental import file_stream
 from lakestar.streaming.star import StarStream
+from lakestar.suite.files import _arrivals
 
 
 def distance(a, b):
@@ -284,3 +286,51 @@ def test_late_songs_complete_facts(spark, tmp_path, seed):
     blank = lambda schema, rs: spark.createDataFrame([{f.name: r.get(f.name) for f in schema} for r in rs], schema)
     batch = c.conform(music.songplays(blank(c.STAGING_EVENTS.schema, all_events), blank(c.STAGING_SONGS.schema, all_songs), ambiguous="first"), c.SONGPLAYS)
     assert rows(star.songplays(spark)) == rows(batch)
+
+
+def disk_of(root, suffix=""):
+    return sum(f.stat().st_size for f in pathlib.Path(root).rglob(f"*{suffix}") if f.is_file())
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in map(files.apply, range(files.size())) if f.getName().endswith(".data")}
+
+
+def test_a_stream_keeps_its_tables_only(spark, tmp_path):
+    """Of 4,000 plays: what is stored of each, and that no shuffle, cached rows or lookups stay behind a batch."""
+    plays = [play(i, pick) | {"session_id": i % 40, "last_name": f"Name {i % 9}"} for i, pick in enumerate(["Blue Moon", "Other"] * 2000)]
+    for i in range(2):
+        put(tmp_path / f"events/{i}.json", plays[i::2])
+    put(tmp_path / "songs/1.json", [song("S1"), song("S2", "Other")])
+    before = shuffle_files(spark)
+    star = StarStream(str(tmp_path / "star"))
+    load(spark, star, tmp_path)
+    left = {name: size for name, size in shuffle_files(spark).items() if name not in before}
+    assert sum(left.values()) < 4 * len(plays)  # names of batches
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert not list((tmp_path / "star").rglob("lookups/*/*"))
+    assert disk_of(tmp_path / "star/heard", ".parquet") + disk_of(tmp_path / "star/songplays", ".parquet") < 40 * len(plays)
+    assert star.songplays(spark).where("song_id IS NOT NULL").count() == len(plays)
+
+
+def test_events_without_parts_of_their_key(spark, tmp_path):
+    """Blank and missing users are one event, and a missing session is one like any other, however often it is sent."""
+    events = [play(1, user=""), play(1, user=None), play(1), play(1) | {"session_id": None}, play(1) | {"ts": None}, play(1) | {"item_in_session": None}]
+    put(tmp_path / "events/1.json", events)
+    put(tmp_path / "events/2.json", events)
+    put(tmp_path / "songs/1.json", [song("S1")])
+    star = StarStream(str(tmp_path / "star"))
+    load(spark, star, tmp_path)
+    log = spark.createDataFrame([{f.name: e.get(f.name) for f in c.STAGING_EVENTS.schema} for e in events[1:]], c.STAGING_EVENTS.schema)
+    known = spark.createDataFrame([{f.name: song("S1").get(f.name) for f in c.STAGING_SONGS.schema}], c.STAGING_SONGS.schema)
+    assert rows(star.songplays(spark)) == rows(c.conform(music.songplays(log, known), c.SONGPLAYS))
+
+
+def test_arriving_files_are_small_and_whole(spark):
+    log = spark.range(5000).select(F.lit("a play like all the others").alias("song"), F.col("id").alias("session_id"))
+    root, each = _arrivals(log, "session_id", 4, 2, "event-files")
+    names = spark.read.text(root).inputFiles()
+    assert 4 <= len(names) and all(n.endswith(".json.gz") for n in names) and each == -(-len(names) // 2)
+    assert disk_of(root.removeprefix("file://"), ".json.gz") < 20 * 5000
+    assert rows(spark.read.schema(log.schema).json(root)) == rows(log)
