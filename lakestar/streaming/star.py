@@ -60,9 +60,11 @@ class StarStream:
             self.song_log.append(rows.withColumn("gaps", gaps), batch)
             artists = music.artist_rows(rows)
             self.artist_log.append(artists.withColumn("gaps", music.gaps(artists.columns)), batch)
-            new = rows.select(*[F.col(theirs).alias(ours) for ours, theirs in music.NATURAL_KEY.items()])
+            # Plays look up the natural keys of this batch only; those that meet none have their fact already.
+            keys = list(music.NATURAL_KEY.values())
+            touched = self.catalogue(songs.sparkSession).join(rows.select(*keys), keys, "left_semi")
             heard = read_batches(songs.sparkSession, f"{self.root}/heard", HEARD)
-            self._append_facts(heard.join(new, list(music.NATURAL_KEY), "left_semi"), f"{batch}-songs")
+            self._append_facts(heard, touched, "inner", f"{batch}-songs")
         finally:
             rows.unpersist()
 
@@ -73,16 +75,16 @@ class StarStream:
         starts = plays.select(music.start_time().alias("start_time"))
         self.time_log.append(starts.withColumns(calendar_fields(F.col("start_time"))), batch)
         self.user_log.append(music.known_plays(plays), batch)
-        self._append_facts(plays, batch)
+        self._append_facts(plays, self.catalogue(events.sparkSession), "left", batch)
 
-    def _append_facts(self, heard: DataFrame, batch: str) -> None:
+    def _append_facts(self, heard: DataFrame, songs: DataFrame, how: str, batch: str) -> None:
         spark, folder = heard.sparkSession, f"{self.root}/lookups/{batch}"
-        ids = smallest_ids(self.catalogue(spark), list(music.NATURAL_KEY.values()), ["song_id", "artist_id"])
+        ids = smallest_ids(songs, list(music.NATURAL_KEY.values()), ["song_id", "artist_id"])
         # As a table their size is known: if it is small Spark broadcasts them, and the plays stay where they are.
         with freed_shuffles(spark):
             ids.write.mode("overwrite").option("compression", "zstd").parquet(folder)
         known = spark.read.schema(ids.schema).parquet(folder)
-        facts = music.songplays(heard.withColumn("item", F.col("item_in_session")), known, "left", keep=("item",))
+        facts = music.songplays(heard.withColumn("item", F.col("item_in_session")), known, how, keep=("item",))
         append_batch(facts.withColumnRenamed("item", "item_in_session").select(*FACTS.fieldNames()), f"{self.root}/songplays", batch, c.SONGPLAYS.partition_by)
         remove_folder(spark, folder)
 

@@ -270,12 +270,12 @@ def streamed_star_facts(t: Tables):
 
 @query("streamed_star_late_songs", LOOKUP_FACTS_SQL)
 def streamed_star_late_songs(t: Tables):
-    songs, events = work_dir(t.spark, "song-files"), work_dir(t.spark, "event-files")
-    t.catalogue().repartition(2).write.json(songs)
-    conform(t.play_log(), STAGING_EVENTS).repartition(2).write.json(events)
+    songs, song_files = _arrivals(t.catalogue(), "song_id", 2, 2, "song-files")
+    events, event_files = _arrivals(conform(t.play_log(), STAGING_EVENTS), "session_id", 4, 1, "event-files")
     star = StarStream(work_dir(t.spark, "star"))
-    star.load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=2))  # before any song, and only once
-    star.load_songs(file_stream(t.spark, songs, STAGING_SONGS.schema, max_files=1))
+    star.load_events(file_stream(t.spark, events, STAGING_EVENTS.schema, max_files=event_files))  # before any song, and only once
+    remove_folder(t.spark, events)
+    star.load_songs(file_stream(t.spark, songs, STAGING_SONGS.schema, max_files=song_files))
     return fact_columns(star.songplays(t.spark))
 
 

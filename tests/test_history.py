@@ -15,7 +15,7 @@ from lakestar.operators.asof import as_of_join, carry_last, interval_history
 from lakestar.operators.sessions import sessions, streamed_sessions
 from lakestar.operators.tolerant import lookups, segments, tolerant_key_join
 from lakestar.plans import music
-from lakestar.streaming.incremental import file_stream
+from lakestar.streaming.incremental import append_batch, file_stream, read_batches
 from lakestar.streaming.star import StarStream
 from lakestar.suite.files import _arrivals
 
@@ -314,6 +314,27 @@ def test_a_stream_keeps_its_tables_only(spark, tmp_path):
     assert star.songplays(spark).where("song_id IS NOT NULL").count() == len(plays)
 
 
+def test_a_batch_of_songs_touches_its_plays_only(spark, tmp_path, monkeypatch):
+    """Small lookups leave the plays where they are, and plays that meet no song get no second fact."""
+    plans = []
+
+    def append(rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        append_batch(rows, *args, **options)
+
+    monkeypatch.setattr("lakestar.streaming.star.append_batch", append)
+    put(tmp_path / "events/1.json", [play(i) for i in range(50)] + [play(i, "Other") for i in range(50, 60)])
+    (tmp_path / "songs").mkdir()
+    star = StarStream(str(tmp_path / "star"))
+    load(spark, star, tmp_path)
+    put(tmp_path / "songs/1.json", [song(None), song("S2", "Other")])
+    load(spark, star, tmp_path)
+    stored = read_batches(spark, f"{tmp_path}/star/songplays")
+    assert stored.groupBy("song_id").count().orderBy("song_id").collect() == [(None, 60), ("S2", 10)]
+    assert star.songplays(spark).where("song_id = 'S2'").count() == 10 and star.songplays(spark).count() == 60
+    assert len(plans) == 3 and not any("hashpartitioning" in p for p in plans)
+
+
 def test_events_without_parts_of_their_key(spark, tmp_path):
     """Blank and missing users are one event, and a missing session is one like any other, however often it is sent."""
     events = [play(1, user=""), play(1, user=None), play(1), play(1) | {"session_id": None}, play(1) | {"ts": None}, play(1) | {"item_in_session": None}]
