@@ -72,7 +72,7 @@ class StarStream:
         # One parse of the batch's files; what follows reads the few columns it needs of the stored plays.
         append_batch(music.plays(events).select(*HEARD.fieldNames()), f"{self.root}/heard", batch, gather=False)
         plays = read_batches(events.sparkSession, f"{self.root}/heard", HEARD, batch)
-        starts = plays.select(music.start_time().alias("start_time"))
+        starts = plays.select(music.start_time().alias("start_time")).distinct()  # before the fields are derived from them
         self.time_log.append(starts.withColumns(calendar_fields(F.col("start_time"))), batch)
         self.user_log.append(music.known_plays(plays), batch)
         self._append_facts(plays, self.catalogue(events.sparkSession), "left", batch)
